@@ -1,4 +1,4 @@
-"""Queries of the text operators: repeated passages."""
+"""Queries of the text operators: personal data and repeated passages."""
 
 from __future__ import annotations
 
@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 from gapweave.llm.shared import table
 
 
+def op1_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gapweave.llm.pii import personal_data
+
+    return personal_data(table(spark, sf_dir, "documents"), with_text=False).drop("redacted")
+
+
 def op7_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gapweave.llm.substring import kept_words
 
@@ -15,4 +21,4 @@ def op7_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op7_fixed_block_anchors,)}
+QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op7_fixed_block_anchors)}

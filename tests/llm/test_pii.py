@@ -1,0 +1,115 @@
+import hashlib
+import random
+import re
+
+from gapweave.llm import pii, queries
+from gapweave.llm.shared import table
+from tests.llm.cases import ROWS, documents
+
+PATTERNS = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def luhn(d):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def brute(text):
+    """The patterns as they stand, then their conditions."""
+    out = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in pattern.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            ok = {"email": True, "ip": kind != "ip" or all(int(p) <= 255 for p in m.group().split(".")), "card": 14 <= len(digits) <= 19 and luhn(digits), "phone": 10 <= len(digits) <= 15}[kind]
+            if ok:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_as_the_patterns():
+    rng = random.Random(4)
+    parts = ["a", "b.c", "@", "@x.y", ".", "-", " ", "+1", "+49 (0)", "1", "12", "255", "256", "001", "(", ")", "4111", "4111111111111111", "4111 1111-1111 1111", "\n", "é", "1.2.3.4", "x@y", "%", "٣"]
+    for _ in range(20_000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 14)))
+        assert pii.base_spans(text) == brute(text), text
+
+
+def test_long_runs_stay_linear():
+    for text in ("1" * 200_000, "a" * 200_000 + "@", "1." * 100_000, "1 " * 60_000, "+1" * 60_000, "a@" * 60_000):
+        pii.find(text, pii.trained())
+
+
+def test_query_equals_brute_force_on_the_base(spark, sf_dir):
+    texts = {r["doc_id"]: r["text"] for r in table(spark, sf_dir, "documents").collect()}
+    got = queries.QUERIES["op1_semi_markov_pii"](spark, sf_dir).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        base = brute(texts[r["doc_id"]])
+        count = [sum(k == i for _, k, _ in base) for i in range(4)]
+        assert [r["n_email"], r["n_ip"], r["n_card"], r["n_phone"]] == count
+        names = [f"{list(PATTERNS)[k]}:{a}:{b}" for a, k, b in base]
+        assert r["base_sha256"] == hashlib.sha256(",".join(names).encode()).hexdigest()
+        spans = r["spans"].split(",") if r["spans"] else []
+        assert set(names) <= set(spans)
+        keys = [(int(s.split(":")[1]), pii.KINDS.index(s.split(":")[0])) for s in spans]
+        assert keys == sorted(keys)
+
+
+def test_field_on_held_out_lines():
+    model, right, found, there = pii.trained(), 0, 0, 0
+    for text, gold in pii.examples(800, 99):
+        candidates = pii.segments(text, 0, len(text))
+        got = set(model.decode(candidates, 0, len(text))) if candidates else set()
+        right, found, there = right + len(got & set(gold)), found + len(got), there + len(gold)
+    assert right / found > 0.95 and right / there > 0.95
+
+
+def test_decoding_is_the_best_of_all_segmentations():
+    model = pii.trained()
+
+    def best(found, nodes, at, label):
+        if at == len(nodes) - 1:
+            return 0.0
+        total = model.moves[label, 0] + best(found, nodes, at + 1, 0)
+        for x, y, f in found:
+            if x == nodes[at]:
+                for k in range(len(pii.KINDS)):
+                    total = max(total, model.moves[label, k + 1] + model.weights[f, k].sum() + best(found, nodes, nodes.index(y), k + 1))
+        return total
+
+    for text, _ in pii.examples(60, 5):
+        found = pii.segments(text, 0, len(text))
+        nodes = sorted({0, len(text), *(x for x, _, _ in found), *(y for _, y, _ in found)})
+        if not 0 < len(found) < 9:
+            continue
+        got, total, at, label = {(x, y): k for x, k, y in model.decode(found, 0, len(text))}, 0.0, 0, 0
+        while at < len(nodes) - 1:
+            own = next(((x, y, f) for x, y, f in found if x == nodes[at] and (x, y) in got), None)
+            if own:
+                k = got[own[0], own[1]]
+                total, at, label = total + model.moves[label, k + 1] + model.weights[own[2], k].sum(), nodes.index(own[1]), k + 1
+            else:
+                total, at, label = total + model.moves[label, 0], at + 1, 0
+        assert abs(total - best(found, nodes, 0, 0)) < 1e-9
+
+
+def test_clean_text_is_left_alone():
+    model = pii.trained()
+    for text in ("Licensed under CC BY-NC 4.0.", "Apache License, Version 2.0.", "In 1999 there were 12 of 340 left.", "plain words only", "see page 12, 2024-10-11 12:30:55"):
+        assert pii.find(text, model) == ([], [])
+
+
+def test_redaction_and_awkward_rows(spark):
+    rows = [*ROWS, (50, "write to a.b@c.org or +1 (369) 555-1339, token = \"04dbebab91ab85687d33eeaaf9ac699e1188f962\" end")]
+    got = pii.personal_data(documents(spark, rows)).collect()
+    assert len(got) == len(rows)
+    own = next(r for r in got if r["doc_id"] == 50)
+    assert own["redacted"] == 'write to [EMAIL] or [PHONE], token = "[SECRET]" end'
+    assert all(r["redacted"] is None for r in got if r["doc_id"] == 3)
+    assert sorted(r["redacted"] or "" for r in got if r["spans"] == "") == sorted(t or "" for _, t in ROWS)
+    assert pii.personal_data(documents(spark).limit(0)).count() == 0
+    assert pii.redact("abcdef", [(0, 0, 4), (2, 1, 5)]) == "[EMAIL]f"
