@@ -122,3 +122,28 @@ def inside(word_offsets: np.ndarray, k: int) -> np.ndarray:
 
 def pack(values: np.ndarray) -> bytes:
     return np.ascontiguousarray(values).tobytes()
+
+
+def byte_grams(data: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """Hash (below 2**bits) of each run of n bytes, n from 2 to 4."""
+    if len(data) < n:
+        return np.zeros(0, np.int64)
+    size = len(data) - n + 1
+    value = data[:size].astype(np.uint32)
+    for i in range(1, n):
+        value = (value << np.uint32(8)) | data[i : i + size]
+    return ((value * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits)).astype(np.int64)
+
+
+def gram_sums(values: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
+    """Sum of values over the runs of n bytes that lie in each document; values is (runs,) or (runs, k)."""
+    total = np.zeros((len(values) + 1, *values.shape[1:]), np.float64)
+    np.cumsum(values, axis=0, out=total[1:])
+    first = np.minimum(offsets[:-1], len(values))
+    last = np.clip(offsets[1:] - n + 1, first, len(values))
+    return total[last] - total[first]
+
+
+def gram_inside(offsets: np.ndarray, n: int) -> np.ndarray:
+    """For each run of n bytes, whether it lies in one document."""
+    return inside(offsets, n)

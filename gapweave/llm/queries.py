@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import queries_text, queries_tokens
+from gapweave.llm import queries_filters, queries_text, queries_tokens
 from gapweave.llm.shared import table
 
 
@@ -23,7 +23,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op10_exact_dedup)} | queries_tokens.QUERIES | queries_text.QUERIES
+QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op10_exact_dedup)} | queries_tokens.QUERIES | queries_text.QUERIES | queries_filters.QUERIES
 
 ORACLE_SQL = {
     "op10_exact_dedup": r"""
