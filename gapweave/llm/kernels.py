@@ -37,7 +37,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
-def blocks(offsets: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+def blocks(offsets: np.ndarray, most: int = (1 << 20) - 2) -> Iterator[tuple[int, int]]:
     """Ranges [a, b) of documents with at most `most` bytes, or a single longer document."""
     a, n = 0, len(offsets) - 1
     while a < n:

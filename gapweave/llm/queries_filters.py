@@ -1,4 +1,4 @@
-"""Queries of the filters: quality rules."""
+"""Queries of the filters: language and quality rules."""
 
 from __future__ import annotations
 
@@ -7,10 +7,18 @@ from pyspark.sql import DataFrame, SparkSession
 from gapweave.llm.shared import table
 
 
+def op5_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gapweave.llm import langid
+
+    rows = langid.of_pages(table(spark, sf_dir, "pages"))
+    model = langid.fit(rows, langid.sample(rows))
+    return langid.identify(rows, model).withColumnRenamed("id", "page_id")
+
+
 def op8_ngram_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gapweave.llm.quality import quality
 
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op8_ngram_likelihood_ratio,)}
+QUERIES = {f.__name__: f for f in (op5_evidence_fusion, op8_ngram_likelihood_ratio)}
