@@ -1,4 +1,4 @@
-"""Queries of the filters: language and quality rules."""
+"""Queries of the filters: language, quality rules and URLs."""
 
 from __future__ import annotations
 
@@ -21,4 +21,10 @@ def op8_ngram_likelihood_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op5_evidence_fusion, op8_ngram_likelihood_ratio)}
+def op9_path_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gapweave.llm.urltree import judge
+
+    return judge(table(spark, sf_dir, "pages"))
+
+
+QUERIES = {f.__name__: f for f in (op5_evidence_fusion, op8_ngram_likelihood_ratio, op9_path_template_tree)}
