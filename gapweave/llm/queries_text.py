@@ -1,4 +1,4 @@
-"""Queries of the text operators: personal data and repeated passages."""
+"""Queries of the text operators: personal data, licenses and repeated passages."""
 
 from __future__ import annotations
 
@@ -14,6 +14,12 @@ def op1_semi_markov_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents"), with_text=False).drop("redacted")
 
 
+def op6_winnowed_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gapweave.llm.licenses import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gapweave.llm.substring import kept_words
 
@@ -21,4 +27,4 @@ def op7_fixed_block_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op7_fixed_block_anchors)}
+QUERIES = {f.__name__: f for f in (op1_semi_markov_pii, op6_winnowed_licenses, op7_fixed_block_anchors)}
