@@ -1,6 +1,61 @@
-"""placeholder"""
+"""A corpus cleaned, deduplicated, redacted and packed, stage by stage.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; all but
+the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gapweave.llm import langid, shared
+from gapweave.llm.exactdedup import exact_duplicates
+from gapweave.llm.packing import packed_pieces
+from gapweave.llm.pii import redact_documents
+from gapweave.llm.simhash import near_duplicates
+
+#: SQL has no form for the stages; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the corpus declares; those rejected by the fused evidence go."""
+    rows = langid.of_documents(docs)
+    judged = langid.identify(rows, langid.fit(rows, langid.sample(rows)))
+    return shared.without(docs, judged.filter("rejected").select(F.col("id").alias("doc_id")))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of equal texts, that of the smallest doc_id."""
+    return shared.without(docs, exact_duplicates(docs).filter("not kept"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near copies, that of the smallest doc_id."""
+    return shared.without(docs, near_duplicates(docs).filter("doc_id <> component_id"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced in their texts."""
+    return redact_documents(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places in sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return packed_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [("language", language), ("exact_dedup", exact), ("simhash_near_dedup", near), ("pii", personal_data), ("packing", packing)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each result is written as Parquet and read again by the next."""
+    docs = shared.table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        mark = shared.made()
+        docs = shared.materialise(stage(spark, docs, sf_dir), f"stage-{name}")
+        shared.discard_since(spark, mark, docs)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -33,9 +33,10 @@ MAX_LANGUAGES = 64
 TEMPER = 0.5
 #: Pseudo-counts by which a host leans on its domain, a domain on the corpus, and for unseen declarations and suffixes.
 HOST_WEIGHT, DOMAIN_WEIGHT, OTHER_WEIGHT = 10.0, 20.0, 1.0
-#: A row is rejected if its best language has a smaller posterior, or if, by n-gram, random bytes explain its text better.
+#: A row is rejected if its best language has a smaller posterior, or if random bytes explain its text better: the mean
+#: log-likelihood ratio of its n-grams, with FIT_SHRINK more that count 0, so that a few odd ones do not decide.
 MIN_POSTERIOR = 0.5
-MIN_FIT = 0.0
+MIN_FIT, FIT_SHRINK = -1.0, 32
 
 _HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
@@ -191,7 +192,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
             odds /= odds.sum(1, keepdims=True)
             best = odds.argmax(1)
             top = np.round(odds.max(1), 6)
-            fit_ = np.round(scores[np.arange(len(best)), best] / np.maximum(grams, 1), 6)
+            fit_ = np.round(scores[np.arange(len(best)), best] / (grams + FIT_SHRINK), 6)
             text_lang = np.where(grams > 0, labels[scores.argmax(1)], None)
             rejected = (batch.column(5).to_numpy() == 0) | (top < MIN_POSTERIOR) | (fit_ < MIN_FIT)
             arrays = [*batch.columns[:3], pa.array(text_lang, pa.string()), pa.array(labels[best], pa.string()), pa.array(top), pa.array(fit_), pa.array(rejected)]

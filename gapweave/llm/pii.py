@@ -405,3 +405,24 @@ def personal_data(docs: DataFrame, model: SemiMarkov | None = None, with_text: b
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, redacted string"
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+
+def redact_documents(docs: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
+    """docs with every span in text replaced by its kind in brackets; n_chars, if there is one, follows a changed
+    text. All columns stay; nulls and empty texts too."""
+    model = model or trained()
+    names = docs.columns
+    at, size = names.index("text"), names.index("n_chars") if "n_chars" in names else -1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, texts = list(batch.columns), batch.column(at).to_pylist()
+            spans = [find(t, model)[1] if t else [] for t in texts]
+            if any(spans):
+                clean = [redact(t, s) if s else t for t, s in zip(texts, spans)]
+                columns[at] = pa.array(clean, columns[at].type)
+                if size >= 0:
+                    columns[size] = pa.array([len(c) if s else n for c, s, n in zip(clean, spans, columns[size].to_pylist())], columns[size].type)
+            yield pa.record_batch(columns, names)
+
+    return docs.mapInArrow(run, docs.schema)

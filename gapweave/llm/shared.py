@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,21 +18,53 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+_made: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: later plans start from files, so a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _made:
+        _made.remove(path)
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by materialise() that no later plan reads."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(df.sparkSession, df.scratch_path)
+
+
+def made() -> int:
+    """How many tables there are; for discard_since()."""
+    return len(_made)
+
+
+def discard_since(spark: SparkSession, mark: int, keep: DataFrame) -> None:
+    """Delete the tables made since made() gave mark, but for keep; nothing may read them any more."""
+    for path in _made[mark:]:
+        if path != keep.scratch_path:
+            _delete(spark, path)
+
+
+#: Ids that a broadcast may hold (8 MB); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
+    """docs but for those whose doc_id is in ids (doc_id). Rows with a null doc_id stay, as no decision names them."""
+    ids = materialise(ids.filter("doc_id is not null").select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped-ids")
+    side = F.broadcast(ids) if ids.count() <= most else ids.hint("shuffle_hash")
+    return docs.join(side, docs["doc_id"] == F.col("dropped_id"), "left_anti")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
