@@ -21,21 +21,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from gapweave.llm.kernels import U64, blocks, span_hash, utf8, word_bounds
 from gapweave.llm.shared import materialise
 
 WIDTH = 4096
 END_ID = 1
-#: Words of each of the two cached generations, and unknown words encoded in one call.
-CACHE = 400_000
-GROUP = 64
+#: Words that a worker keeps (about 35 bytes each), unknown words encoded in one call, and bytes of a block.
+CACHE = 2_000_000
+GROUP = 256
+BLOCK = (2 << 20) - 2
 #: Rows of one length that are numbered together; more lengths' rows go to more buckets.
 RANK_ROWS = 50_000
 
 
-class WordIds(dict):
-    """White-space separated word to its packed ids. The tokenizer drops white space and none of its
-    rules looks across it, so words can be encoded one by one. Two generations of bounded size: a
-    word used since the last turnover outlives it."""
+class WordIds:
+    """Ids of white-space separated words, kept under 128-bit hashes in sorted arrays.
+
+    The tokenizer drops white space and none of its rules looks across it, so words can be encoded
+    one by one. A block's different words are looked up together; unknown ones are encoded many in a
+    call, parted by a word of one control character, and merged into the arrays. Beyond CACHE
+    words the arrays start anew.
+    """
+
+    SEPARATOR = "\x01"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,45 +51,70 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.old: dict[bytes, bytes] = {}
-
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > CACHE:
-            self.old = dict(self)
-            self.clear()
-            new = list(words)
-        unknown = []
-        for word in new:
-            if (found := self.old.get(word)) is None:
-                unknown.append(word)
-            else:
-                self[word] = found
-        for a in range(0, len(unknown), GROUP):
-            self._encode(unknown[a : a + GROUP])
-
-    def _encode(self, words: list[bytes]) -> None:
-        """A few words in one call; each id belongs to the word in which its offset lies."""
-        texts = [w.decode("utf-8", "replace") for w in words]
-        found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        raw = np.array(found.ids, "<u4").tobytes()
-        ends = np.cumsum([len(t) + 1 for t in texts])
-        at = 0
-        for word, to in zip(words, np.searchsorted(np.array([o[0] for o in found.offsets], np.int64), ends).tolist()):
-            self[word] = raw[4 * at : 4 * to]
-            at = to
-
-    def encode(self, text: bytes) -> bytes:
-        words = text.split()
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            out = []
-            for a in range(0, len(words), CACHE // 4):
-                part = words[a : a + CACHE // 4]
-                self.learn(set(part))
-                out += map(self.__getitem__, part)
-            return b"".join(out)
+        mark = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
+        self.mark = mark[0] if len(mark) == 1 else None
+        self._clear()
+
+    def _clear(self) -> None:
+        self.low = self.high = np.zeros(0, U64)
+        self.start = self.size = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end, and how many each has."""
+        if self.mark is None or any(self.SEPARATOR in w for w in words):
+            found = [x.ids for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+            return np.array([i for x in found for i in x], np.uint32), np.array([len(x) for x in found], np.int64)
+        parts, between = [], f" {self.SEPARATOR} "
+        for a in range(0, len(words), GROUP):
+            text = between.join(words[a : a + GROUP])
+            parts.append(np.array([*self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.mark], np.uint32))
+        ids = np.concatenate(parts)
+        ends = np.flatnonzero(ids == self.mark)
+        return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
+
+    def _learn(self, low: np.ndarray, high: np.ndarray, words: list[bytes]) -> None:
+        if len(self.low) + len(words) > CACHE:
+            self._clear()
+        ids, size = self._encode([w.decode("utf-8", "replace") for w in words])
+        start = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
+        at = np.searchsorted(self.low, low)
+        self.low, self.high = np.insert(self.low, at, low), np.insert(self.high, at, high)
+        self.start, self.size = np.insert(self.start, at, start), np.insert(self.size, at, size.astype(np.int32))
+        self.ids = np.concatenate([self.ids, ids])
+
+    def _find(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.searchsorted(self.low, low)
+        at[at == len(self.low)] = 0
+        known = (self.low[at] == low) & (self.high[at] == high) if len(self.low) else np.zeros(len(low), bool)
+        return at, known
+
+    def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Ids of each document of a block."""
+        starts, ends, of = word_bounds(data, offsets)
+        if not len(starts):
+            return [np.zeros(0, np.uint32)] * (len(offsets) - 1)
+        low, which, place = np.unique(span_hash(data, starts, ends), return_index=True, return_inverse=True)
+        high = span_hash(data, starts, ends, 1)
+        if (high != high[which][place]).any():  # two words of one block share 64 bits: one by one
+            raw = data.tobytes()
+            words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+            ids, size = self._encode([w.decode("utf-8", "replace") for w in words])
+        else:
+            at, known = self._find(low, high[which])
+            if not known.all():
+                raw, new = data.tobytes(), which[~known]
+                before = len(self.low)
+                self._learn(low[~known], high[new], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+                if len(self.low) < before:  # started anew: the known ones are unknown now
+                    new = which[known]
+                    self._learn(low[known], high[new], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
+                at, _ = self._find(low, high[which])
+            size = self.size[at][place].astype(np.int64)
+            put = np.cumsum(size) - size
+            ids = self.ids[np.repeat(self.start[at][place] - put, size) + np.arange(int(size.sum()))]
+        bounds = np.concatenate([[0], np.cumsum(size)])[of]
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 _tokenizers: dict[str, WordIds] = {}
@@ -98,8 +131,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH) -> DataFram
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = (words.encode(text.as_buffer().to_pybytes()) if text.is_valid else b"") + end
+            doc_ids = batch.column(0).to_pylist()
+            data, offsets = utf8(batch.column(1))
+            encoded = (x for a, b in blocks(offsets, BLOCK) for x in words.encode_block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+            for doc_id, found in zip(doc_ids, encoded):
+                ids = found.astype("<u4").tobytes() + end
                 rows += [(doc_id, p, p * width, (min(len(ids), a + 4 * width) - a) // 4, ids[a : a + 4 * width]) for p, a in enumerate(range(0, len(ids), 4 * width))]
                 if len(rows) >= 2000:
                     yield _batch(rows)

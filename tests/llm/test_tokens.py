@@ -79,17 +79,32 @@ def test_words_as_the_tokenizer():
     whole = Tokenizer.from_file(WORDS_PATH)
     whole.encode_special_tokens = True
     rng, words = random.Random(6), packing.WordIds(WORDS_PATH)
-    alphabet = [*ALPHABET, "\x0b", "\x0c", "İ", "ẞ", "Σ", "á", "<|endoftext|>"]
-    for _ in range(3000):
-        text = "".join(rng.choices(alphabet, k=rng.randint(0, 60)))
-        assert words.encode(text.encode()) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
+    alphabet = [*ALPHABET, "\x0b", "\x0c", "İ", "ẞ", "Σ", "á", "<|endoftext|>", "T", "T\u0308", "K", "The", ",", ".", "***", "$$$", "\u212a"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(3000)] + ["\x01 a \x01b \x01"]
+    check_words(words, whole, texts, 2000)
 
 
-def test_word_cache_turns_over(monkeypatch):
-    monkeypatch.setattr(packing, "CACHE", 12)
-    words, text = packing.WordIds(WORDS_PATH), " ".join(f"word{i % 37} and" for i in range(300))
-    assert words.encode(text.encode()) == np.array(words.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-    assert len(words) <= 12
+def check_words(words, whole, texts, most):
+    data, offsets = utf8(pa.array(texts))
+    got = [x for a, b in blocks(offsets, most) for x in words.encode_block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])]
+    assert len(got) == len(texts)
+    for text, ids in zip(texts, got):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_word_cache_starts_anew(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE", 25)
+    words = packing.WordIds(WORDS_PATH)
+    texts = [" ".join(f"word{(i * j) % 37}, And" for i in range(10)) for j in range(50)]
+    check_words(words, words.tokenizer, texts, 100)
+    assert len(words.low) < 60
+
+
+def test_words_that_share_a_hash(monkeypatch):
+    real = packing.span_hash
+    monkeypatch.setattr(packing, "span_hash", lambda d, a, b, lane=0: real(d, a, b, lane) & np.uint64(3 if lane == 0 else 0xFFFF))
+    words = packing.WordIds(WORDS_PATH)
+    check_words(words, words.tokenizer, ["one two three four five six seven", "eight nine ten", "one"] * 3, 30)
 
 
 def bin_by_bin(counts, width):
