@@ -1 +1,19 @@
+"""Sequences of an endless stream."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from gapweave.schema import TS
+
+
+def sequence_sessions(stream: DataFrame, keys: tuple[str, ...] = (), gap_max_minutes: int = 15, late: str = "1 hour") -> DataFrame:
+    """(keys, start, end, rows) of each sequence of a stream with a timestamp column ts.
+
+    A gap of more than gap_max whole seconds ends a sequence, so the session gap is one second more; end is
+    the last row's time. Rows later than `late` are dropped by the watermark."""
+    seconds = int(gap_max_minutes * 60) + 1
+    rows = stream.withWatermark(TS, late)
+    found = rows.groupBy(*keys, F.session_window(TS, f"{seconds} seconds").alias("w")).agg(F.count("*").alias("rows"), F.max(TS).alias("end"))
+    return found.select(*keys, F.col("w.start").alias("start"), "end", "rows")
