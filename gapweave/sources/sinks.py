@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.schema import FILE_COLUMNS, SEQUENCE, TS
+from gapweave.schema import FILE_COLUMNS, TS
 from gapweave.sources.files import move_single_part
 
 _TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -29,7 +29,3 @@ def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
 
 def write_csv_folder(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("timestampNTZFormat", _TIME).csv(path)
-
-
-def sequence_order(df: DataFrame, keys: tuple[str, ...] = ()) -> list:
-    return [*keys, F.asc_nulls_first(SEQUENCE), *([TS] if TS in df.columns else [])]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from gapweave.schema import TS
 
@@ -14,6 +15,6 @@ def sequence_sessions(stream: DataFrame, keys: tuple[str, ...] = (), gap_max_min
     A gap of more than gap_max whole seconds ends a sequence, so the session gap is one second more; end is
     the last row's time. Rows later than `late` are dropped by the watermark."""
     seconds = int(gap_max_minutes * 60) + 1
-    rows = stream.withWatermark(TS, late)
+    rows = stream.withColumn(TS, F.col(TS).cast(TimestampType())).withWatermark(TS, late)  # watermarks need zoned times
     found = rows.groupBy(*keys, F.session_window(TS, f"{seconds} seconds").alias("w")).agg(F.count("*").alias("rows"), F.max(TS).alias("end"))
     return found.select(*keys, F.col("w.start").alias("start"), "end", "rows")
