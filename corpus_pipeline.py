@@ -21,31 +21,31 @@ ORACLE_SQL = None
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the corpus declares; those rejected by the fused evidence go."""
-    rows = langid.of_documents(docs)
+    rows = langid.of_documents(shared.tune(docs))
     judged = langid.identify(rows, langid.fit(rows, langid.sample(rows)))
     return shared.without(docs, judged.filter("rejected").select(F.col("id").alias("doc_id")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that of the smallest doc_id."""
-    return shared.without(docs, exact_duplicates(docs).filter("not kept"))
+    return shared.without(docs, exact_duplicates(shared.tune(docs)).filter("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, that of the smallest doc_id."""
-    return shared.without(docs, near_duplicates(docs).filter("doc_id <> component_id"))
+    return shared.without(docs, near_duplicates(shared.tune(docs)).filter("doc_id <> component_id"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced in their texts."""
-    return redact_documents(docs)
+    return redact_documents(shared.tune(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in sequences of 4096 tokens."""
     import public_tokenizers
 
-    return packed_pieces(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return packed_pieces(shared.tune(docs), public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES = [("language", language), ("exact_dedup", exact), ("simhash_near_dedup", near), ("pii", personal_data), ("packing", packing)]

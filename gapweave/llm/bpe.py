@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm.kernels import blocks, utf8
+from gapweave.llm.kernels import blocks, trimmed, utf8
 
 #: Classes of code points.
 WHITE, BLANK, LETTER, DIGIT, OTHER, QUOTE = range(6)
@@ -260,7 +260,7 @@ def encode(docs: DataFrame, shipped) -> DataFrame:
                     ["doc_id", "ids", "starts"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, ids binary, starts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, ids binary, starts binary")
 
 
 def decode(encoded: DataFrame, shipped) -> DataFrame:
@@ -273,4 +273,4 @@ def decode(encoded: DataFrame, shipped) -> DataFrame:
             bodies = [vocabulary.decode(np.frombuffer(x.as_buffer(), "<u4")) if x.is_valid else None for x in ids]
             yield pa.record_batch([batch.column(0), ids, pa.array(bodies, pa.binary())], ["doc_id", "ids", "body"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, body binary")
+    return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), "doc_id long, ids binary, body binary")

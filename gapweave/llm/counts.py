@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.llm.kernels import trimmed
+
 SLICE = 4096
 
 
@@ -35,7 +37,7 @@ def summed(df: DataFrame, width: int, add: Callable[[pa.RecordBatch, np.ndarray]
         if sums:
             yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["slice", "counts"])
 
-    parts = df.mapInArrow(count, "slice int, counts binary").repartition(max(1, min(16, width // SLICE)), F.col("slice"))
+    parts = df.mapInArrow(trimmed(count), "slice int, counts binary").repartition(max(1, min(16, width // SLICE)), F.col("slice"))
     out = np.zeros(width, np.int64)
     for row in parts.mapInArrow(total, "slice int, counts binary").toLocalIterator():
         part = np.frombuffer(bytes(row["counts"]), np.int64)

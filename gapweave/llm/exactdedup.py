@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.llm.kernels import trimmed
 from gapweave.llm.shared import materialise
 
 MEMTABLE_ROWS = 200_000
@@ -114,7 +115,7 @@ def log(docs: DataFrame, size: int = 32, limit: int = MEMTABLE_ROWS) -> DataFram
             yield pa.record_batch([pa.array(keys, pa.binary()), ids, pa.array(np.zeros(len(keys), np.int64))], ["digest", "doc_id", "run_rows"])
         yield from flushed()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _LOG)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), _LOG)
 
 
 def compact(runs: DataFrame) -> DataFrame:
@@ -143,7 +144,7 @@ def hit_filter(hits: DataFrame, n_hits: int, most: int = FILTER_BYTES) -> np.nda
             bits |= np.frombuffer(other, np.uint8)
         return pdf.iloc[:1].assign(bits=[bits.tobytes()])
 
-    parts = hits.select("digest").coalesce(32).mapInArrow(build, "at int, bits binary")
+    parts = hits.select("digest").coalesce(32).mapInArrow(trimmed(build), "at int, bits binary")
     whole = np.zeros(n_bytes, np.uint8)
     for row in parts.groupBy("at").applyInPandas(join, "at int, bits binary").toLocalIterator():
         piece = np.frombuffer(bytes(row["bits"]), np.uint8)
@@ -174,7 +175,7 @@ def verify(docs: DataFrame, hits: DataFrame, bits: np.ndarray, size: int = 32) -
                     ["digest", "doc_id", "body"],
                 )
 
-    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(probe, "digest binary, doc_id long, body binary")
+    found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(probe), "digest binary, doc_id long, body binary")
     rows = found.join(hits, "digest")
     salts = F.ceil(F.col("group_size") / F.lit(SALT_ROWS)).cast("int")
     stays = rows.filter(F.col("doc_id") == F.col("keep_id")).groupBy("digest").agg(F.first("body").alias("kept_body"), F.first("group_size").alias("n"))

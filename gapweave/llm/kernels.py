@@ -7,7 +7,9 @@ working arrays stay small, and a longer document forms a block of its own.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body, at - at[0]
 
 
-def blocks(offsets: np.ndarray, most: int = (1 << 20) - 2) -> Iterator[tuple[int, int]]:
+def blocks(offsets: np.ndarray, most: int = (1 << 18) - 2) -> Iterator[tuple[int, int]]:
     """Ranges [a, b) of documents with at most `most` bytes, or a single longer document."""
     a, n = 0, len(offsets) - 1
     while a < n:
@@ -147,3 +149,25 @@ def gram_sums(values: np.ndarray, offsets: np.ndarray, n: int) -> np.ndarray:
 def gram_inside(offsets: np.ndarray, n: int) -> np.ndarray:
     """For each run of n bytes, whether it lies in one document."""
     return inside(offsets, n)
+
+
+def _trim() -> None:
+    """Give freed memory back to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
+
+
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run for mapInArrow, after whose end the worker, which other stages use again, keeps no freed memory."""
+
+    @functools.wraps(run)
+    def task(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return task

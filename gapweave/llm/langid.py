@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from gapweave.llm.counts import summed
-from gapweave.llm.kernels import blocks, byte_grams, gram_inside, gram_sums, utf8
+from gapweave.llm.kernels import blocks, byte_grams, gram_inside, gram_sums, trimmed, utf8
 from gapweave.llm.shared import materialise
 
 GRAM = 3
@@ -130,7 +130,7 @@ def _textual(rows: DataFrame, model: TextModel) -> DataFrame:
                 lists = [pa.ListArray.from_arrays(bounds, pa.array(x.ravel())) for x in (np.round(scores, 6), np.round(soft, 6))]
                 yield pa.record_batch([c.slice(a, b - a) for c in batch.columns[: len(names)]] + [*lists, pa.array(grams), pa.array(letters)], schema.names)
 
-    return rows.select(*names, "text").mapInArrow(run, schema)
+    return rows.select(*names, "text").mapInArrow(trimmed(run), schema)
 
 
 def _sums(k: int, column: str = "soft") -> list:
@@ -198,7 +198,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
             arrays = [*batch.columns[:3], pa.array(text_lang, pa.string()), pa.array(labels[best], pa.string()), pa.array(top), pa.array(fit_), pa.array(rejected)]
             yield pa.record_batch(arrays, ["id", "declared", "host", "text_lang", "lang", "posterior", "fit", "rejected"])
 
-    return joined.select(*names).mapInArrow(fuse, "id long, declared string, host string, text_lang string, lang string, posterior double, fit double, rejected boolean")
+    return joined.select(*names).mapInArrow(trimmed(fuse), "id long, declared string, host string, text_lang string, lang string, posterior double, fit double, rejected boolean")
 
 
 def of_documents(docs: DataFrame) -> DataFrame:
@@ -220,4 +220,4 @@ def of_pages(pages: DataFrame) -> DataFrame:
             text = [h and _TAG.sub(" ", _HIDDEN.sub(" ", h)) for h in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(text, pa.string()), *batch.columns[2:]], ["id", "text", "declared", "host", "domain", "suffix"])
 
-    return rows.mapInArrow(strip, "id long, text string, declared string, host string, domain string, suffix string")
+    return rows.mapInArrow(trimmed(strip), "id long, text string, declared string, host string, domain string, suffix string")

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gapweave.llm.kernels import trimmed
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret", "ssn", "iban")
 #: Longest segment in characters, and characters of context around a trigger.
@@ -404,7 +406,7 @@ def personal_data(docs: DataFrame, model: SemiMarkov | None = None, with_text: b
                 yield pa.record_batch(arrays, ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "redacted"])
 
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, redacted string"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), schema)
 
 
 def redact_documents(docs: DataFrame, model: SemiMarkov | None = None) -> DataFrame:
@@ -425,4 +427,4 @@ def redact_documents(docs: DataFrame, model: SemiMarkov | None = None) -> DataFr
                     columns[size] = pa.array([len(c) if s else n for c, s, n in zip(clean, spans, columns[size].to_pylist())], columns[size].type)
             yield pa.record_batch(columns, names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)

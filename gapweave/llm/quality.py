@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.llm.counts import summed
-from gapweave.llm.kernels import blocks, byte_grams, gram_hash, gram_inside, gram_sums, inside, span_hash, utf8, word_bounds
+from gapweave.llm.kernels import blocks, byte_grams, gram_hash, gram_inside, gram_sums, inside, span_hash, trimmed, utf8, word_bounds
 
 GRAM = 4
 BITS = 18
@@ -129,7 +129,7 @@ def judge(docs: DataFrame, ratio: np.ndarray, threshold: float = THRESHOLD) -> D
                 arrays = [batch.column(0).slice(a, b - a), *(pa.array(v) for v in found.values()), pa.array(failed), pa.array(~failed & (score >= threshold)), pa.array(score)]
                 yield pa.record_batch(arrays, ["doc_id", *found, "base_failed", "kept", "score"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, _SCHEMA)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), _SCHEMA)
 
 
 def quality(docs: DataFrame, labels: DataFrame, trusted_rows: int = TRUSTED_ROWS, threshold: float = THRESHOLD) -> DataFrame:

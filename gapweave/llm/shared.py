@@ -18,6 +18,19 @@ def shared_dir(spark: SparkSession) -> str:
     return at.rstrip("/")
 
 
+#: Rows and bytes of the batches that go to Python, where the session has no values of its own: whole texts are wide rows.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def tune(docs: DataFrame) -> DataFrame:
+    """docs, with batches for Python kept small, so that a worker's memory does not grow with long texts."""
+    conf = docs.sparkSession.conf
+    for key, value in BATCHES.items():
+        if conf.get(key, None) is None:
+            conf.set(key, value)
+    return docs
+
+
 _made: list[str] = []
 
 
@@ -68,4 +81,4 @@ def without(docs: DataFrame, ids: DataFrame, most: int = BROADCAST_IDS) -> DataF
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return tune(spark.read.parquet(f"{sf_dir}/{name}.parquet"))

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.llm.components import components
-from gapweave.llm.kernels import U64
+from gapweave.llm.kernels import U64, trimmed
 from gapweave.llm.shared import materialise
 
 #: Generator polynomial of the (23, 12) Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
@@ -173,7 +173,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame
             fps = np.array([simhash(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle, seed) for t in text], dtype=U64)
             yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, fp long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, hot: int = HOT) -> DataFrame:
@@ -188,7 +188,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, hot: int
     """
     marked = materialise(fingerprints(docs, shingle, seed), "fingerprints")
     nodes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-nodes")
-    keys = nodes.filter("rep is not null").select("fp", "rep").mapInArrow(_keys, "key long, fp long, rep long")
+    keys = nodes.filter("rep is not null").select("fp", "rep").mapInArrow(trimmed(_keys), "key long, fp long, rep long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     met = materialise(keys.join(shared, "key"), "fingerprint-keys")
     group = F.collect_list(F.struct("fp", "rep")).alias("members")
@@ -196,7 +196,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, hot: int
     narrow = met.filter(F.col("n") > hot).select("key", "fp", "rep").mapInArrow(_narrow_keys, "tag int, key long, fp long, rep long")
     # a fingerprint that comes under several hot keys of one segment would repeat here
     narrow = narrow.distinct().groupBy("tag", "key").agg(group).filter(F.size("members") > 1).select("members")
-    edges = cold.unionAll(narrow).mapInArrow(_links, "u long, v long")
+    edges = cold.unionAll(narrow).mapInArrow(trimmed(_links), "u long, v long")
     found = components(edges)
     named = nodes.join(found, nodes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return marked.join(named, "fp").select("doc_id", "fp", "component_id")
