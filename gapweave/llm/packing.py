@@ -21,26 +21,34 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gapweave.llm.kernels import U64, blocks, span_hash, utf8, word_bounds
+from gapweave.llm.kernels import U64, blocks, span_hash, trimmed, utf8, word_bounds
 from gapweave.llm.shared import materialise
 
 WIDTH = 4096
 END_ID = 1
-#: Words that a worker keeps (about 35 bytes each), unknown words encoded in one call, and bytes of a block.
+#: Words that a worker keeps (about 35 bytes each), unknown words encoded in one call, late words, and bytes of a block.
 CACHE = 2_000_000
 GROUP = 256
-BLOCK = (2 << 20) - 2
-#: Rows of one length that are numbered together; more lengths' rows go to more buckets.
-RANK_ROWS = 50_000
+RECENT = 50_000
+BLOCK = (1 << 19) - 2
+#: Symbols that part a word from what stands before them.
+MARKS = b".,;:!?*#$%&|)"
+_MARK, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[list(MARKS)] = True
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+#: Rows of one length that are numbered together; a length with more rows has more buckets.
+RANK_ROWS = 500
 
 
 class WordIds:
-    """Ids of white-space separated words, kept under 128-bit hashes in sorted arrays.
-
-    The tokenizer drops white space and none of its rules looks across it, so words can be encoded
-    one by one. A block's different words are looked up together; unknown ones are encoded many in a
-    call, parted by a word of one control character, and merged into the arrays. Beyond CACHE
-    words the arrays start anew.
+    """Ids of words, kept under 128-bit hashes in sorted arrays.
+
+    The tokenizer drops white space and none of its rules looks across it, nor across the bound
+    between an ASCII letter or digit and one of MARKS; so the parts between can be encoded one by
+    one. It lower-cases, so ASCII letters are lower-cased here already, but for those that a
+    combining character might follow. A block's different words are looked up together; unknown ones are encoded many in a
+    call, parted by a word of one control character, and merged into the arrays of late words, these
+    now and then into the large ones. Beyond CACHE words all start anew.
     """
 
     SEPARATOR = "\x01"
@@ -56,10 +64,17 @@ class WordIds:
         self._clear()
 
     def _clear(self) -> None:
-        self.low = self.high = np.zeros(0, U64)
-        self.start = self.size = np.zeros(0, np.int32)
+        self.levels = [self._empty(), self._empty()]  # many words, and those learned lately
         self.ids = np.zeros(0, np.uint32)
 
+    @staticmethod
+    def _empty() -> list[np.ndarray]:
+        return [np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+
+    @property
+    def n_words(self) -> int:
+        return sum(len(level[0]) for level in self.levels)
+
     def _encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words end to end, and how many each has."""
         if self.mark is None or any(self.SEPARATOR in w for w in words):
@@ -74,24 +89,43 @@ class WordIds:
         return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
 
     def _learn(self, low: np.ndarray, high: np.ndarray, words: list[bytes]) -> None:
-        if len(self.low) + len(words) > CACHE:
-            self._clear()
+        """Add words that are not there, by rising low."""
         ids, size = self._encode([w.decode("utf-8", "replace") for w in words])
         start = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
-        at = np.searchsorted(self.low, low)
-        self.low, self.high = np.insert(self.low, at, low), np.insert(self.high, at, high)
-        self.start, self.size = np.insert(self.start, at, start), np.insert(self.size, at, size.astype(np.int32))
         self.ids = np.concatenate([self.ids, ids])
+        self.levels[1] = self._merged(self.levels[1], [low, high, start, size.astype(np.int32)])
+        if len(self.levels[1][0]) > max(RECENT, len(self.levels[0][0]) // 8):
+            self.levels = [self._merged(*self.levels), self._empty()]
+
+    @staticmethod
+    def _merged(a: list[np.ndarray], b: list[np.ndarray]) -> list[np.ndarray]:
+        at = np.searchsorted(a[0], b[0])
+        return [np.insert(x, at, y) for x, y in zip(a, b)]
 
     def _find(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.searchsorted(self.low, low)
-        at[at == len(self.low)] = 0
-        known = (self.low[at] == low) & (self.high[at] == high) if len(self.low) else np.zeros(len(low), bool)
-        return at, known
+        """Start and size of the ids of each word; size -1 if it is unknown."""
+        start, size = np.zeros(len(low), np.int64), np.full(len(low), -1, np.int64)
+        for lows, highs, starts, sizes in self.levels:
+            if len(lows):
+                at = np.searchsorted(lows, low)
+                at[at == len(lows)] = 0
+                own = (lows[at] == low) & (highs[at] == high)
+                start[own], size[own] = starts[at[own]], sizes[at[own]]
+        return start, size
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each document of a block."""
+        data = data.copy()
+        plain = np.append(data[1:], 0) < 128
+        data[(data >= 65) & (data <= 90) & plain] |= 32
         starts, ends, of = word_bounds(data, offsets)
+        cuts = np.flatnonzero(_MARK[data[1:]] & _ALNUM[data[:-1]]) + 1
+        if len(cuts):
+            flags = np.zeros((2, len(data) + 1), bool)
+            flags[0, starts] = flags[1, ends] = True
+            flags[:, cuts] = True
+            starts, ends = np.flatnonzero(flags[0]), np.flatnonzero(flags[1])
+            of = np.searchsorted(starts, offsets)
         if not len(starts):
             return [np.zeros(0, np.uint32)] * (len(offsets) - 1)
         low, which, place = np.unique(span_hash(data, starts, ends), return_index=True, return_inverse=True)
@@ -101,18 +135,18 @@ class WordIds:
             words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
             ids, size = self._encode([w.decode("utf-8", "replace") for w in words])
         else:
-            at, known = self._find(low, high[which])
-            if not known.all():
-                raw, new = data.tobytes(), which[~known]
-                before = len(self.low)
-                self._learn(low[~known], high[new], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
-                if len(self.low) < before:  # started anew: the known ones are unknown now
-                    new = which[known]
-                    self._learn(low[known], high[new], [raw[a:b] for a, b in zip(starts[new].tolist(), ends[new].tolist())])
-                at, _ = self._find(low, high[which])
-            size = self.size[at][place].astype(np.int64)
+            start, size = self._find(low, high[which])
+            new = np.flatnonzero(size < 0)
+            if len(new):
+                if self.n_words + len(new) > CACHE:
+                    self._clear()
+                    new = np.arange(len(low))
+                raw, at = data.tobytes(), which[new]
+                self._learn(low[new], high[at], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+                start, size = self._find(low, high[which])
+            size = size[place]
             put = np.cumsum(size) - size
-            ids = self.ids[np.repeat(self.start[at][place] - put, size) + np.arange(int(size.sum()))]
+            ids = self.ids[np.repeat(start[place] - put, size) + np.arange(int(size.sum()))]
         bounds = np.concatenate([[0], np.cumsum(size)])[of]
         return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
@@ -120,8 +154,9 @@ class WordIds:
 _tokenizers: dict[str, WordIds] = {}
 
 
-def pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH) -> DataFrame:
-    """(doc_id, piece, start, length, ids): each text's ids and the end id, cut at every `width` ids.
+def pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH, with_ids: bool = True) -> DataFrame:
+    """(doc_id, piece, start, length, ids, ids_crc32): each text's ids and the end id, cut at every `width` ids; ids
+    (packed) are null unless with_ids.
 
     Columns read: doc_id, text; a null text counts as empty and has the end id only.
     """
@@ -145,9 +180,11 @@ def pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH) -> DataFram
 
     def _batch(rows):
         a, p, s, n, i = zip(*rows)
-        return pa.record_batch([pa.array(a, pa.int64()), pa.array(p, pa.int32()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(i, pa.binary())], ["doc_id", "piece", "start", "length", "ids"])
+        crc = pa.array([zlib.crc32(x) for x in i], pa.int64())
+        i = i if with_ids else [None] * len(i)
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(p, pa.int32()), pa.array(s, pa.int64()), pa.array(n, pa.int64()), pa.array(i, pa.binary()), crc], ["doc_id", "piece", "start", "length", "ids", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, piece int, start long, length long, ids binary, ids_crc32 long")
 
 
 def best_two_fit(counts: np.ndarray, width: int = WIDTH) -> list[tuple[list[int], int]]:
@@ -227,10 +264,10 @@ def pack(cut: DataFrame, width: int = WIDTH, rank_rows: int = RANK_ROWS) -> Data
     for row in cut.groupBy("length").count().toLocalIterator():  # at most `width` rows
         counts[row["length"]] = row["count"]
     runs = places(best_two_fit(counts, width))
-    buckets = int(max(1, -(-int(counts.max()) // rank_rows)))
+    buckets = F.get(F.lit(np.maximum(1, -(-counts // rank_rows)).tolist()), F.col("length").cast("int"))
     shipped = cut.sparkSession.sparkContext.broadcast(runs)
     names = cut.columns
-    rows = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
+    rows = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), buckets).cast("long"))
     before = W.partitionBy("length").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
     base = rows.groupBy("length", "bucket").agg(F.count("*").alias("n")).select("length", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     own = W.partitionBy("length", "bucket").orderBy("doc_id", "piece")
@@ -248,16 +285,10 @@ def pack(cut: DataFrame, width: int = WIDTH, rank_rows: int = RANK_ROWS) -> Data
             columns = [*batch.columns[:n_at], pa.array(run[:, 2] + rank - run[:, 1]), pa.array(run[:, 3])]
             yield pa.record_batch(columns, schema.names)
 
-    return rows.mapInArrow(deal, schema)
+    return rows.mapInArrow(trimmed(deal), schema)
 
 
 def packed_pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all documents."""
-
-    def checks(batches):
-        for batch in batches:
-            crc = [zlib.crc32(x.as_buffer()) for x in batch.column(4)]
-            yield pa.record_batch([*batch.columns[:4], pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
-
-    cut = pieces(docs, tokenizer_path, width).mapInArrow(checks, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    cut = pieces(docs, tokenizer_path, width, with_ids=False).drop("ids")
     return pack(materialise(cut, "pieces"), width)
