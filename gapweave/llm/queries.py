@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapweave.llm import queries_filters, queries_text, queries_tokens
+from gapweave.llm import queries_filters, queries_text, queries_tokens, sql
 from gapweave.llm.shared import table
 
 
@@ -25,11 +25,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op2_simhash_near_dedup, op10_exact_dedup)} | queries_tokens.QUERIES | queries_text.QUERIES | queries_filters.QUERIES
 
-ORACLE_SQL = {
-    "op10_exact_dedup": r"""
-        WITH n AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
-        SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
-               doc_id = min(doc_id) OVER w AS kept, text_sha256
-        FROM n WINDOW w AS (PARTITION BY text_sha256)
-    """,
-}
+ORACLE_SQL = {"op9_path_template_tree": sql.path_template_tree(), "op10_exact_dedup": sql.EXACT_DEDUP}
