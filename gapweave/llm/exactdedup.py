@@ -124,7 +124,11 @@ def compact(runs: DataFrame) -> DataFrame:
 
 
 def hit_filter(hits: DataFrame, n_hits: int, most: int = FILTER_BYTES) -> np.ndarray:
-    """One Bloom filter of fixed largest size for the digests of hits, joined from the tasks' filters by OR."""
+    """One Bloom filter of fixed largest size for the digests of hits, joined from the tasks' filters by OR.
+
+    Beyond 8 * most hits nearly all its bits would be set, so it is not built: it lets everything through."""
+    if n_hits > 8 * most:
+        return np.full(1, 255, np.uint8)
     n_bytes = int(min(most, max(1 << 10, 1 << int(2 * n_hits).bit_length())))
 
     def build(batches):
@@ -144,7 +148,7 @@ def hit_filter(hits: DataFrame, n_hits: int, most: int = FILTER_BYTES) -> np.nda
             bits |= np.frombuffer(other, np.uint8)
         return pdf.iloc[:1].assign(bits=[bits.tobytes()])
 
-    parts = hits.select("digest").coalesce(32).mapInArrow(trimmed(build), "at int, bits binary")
+    parts = hits.select("digest").coalesce(256).mapInArrow(trimmed(build), "at int, bits binary")
     whole = np.zeros(n_bytes, np.uint8)
     for row in parts.groupBy("at").applyInPandas(join, "at int, bits binary").toLocalIterator():
         piece = np.frombuffer(bytes(row["bits"]), np.uint8)
@@ -184,7 +188,7 @@ def verify(docs: DataFrame, hits: DataFrame, bits: np.ndarray, size: int = 32) -
     return others.join(stays, ["digest", "salt"]).select("digest", "doc_id", "body", (F.col("body") == F.col("kept_body")).alias("same"))
 
 
-def exact_duplicates(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int = MEMTABLE_ROWS) -> DataFrame:
+def exact_duplicates(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int = MEMTABLE_ROWS, filter_bytes: int = FILTER_BYTES) -> DataFrame:
     """Groups of texts that are equal after whitespace runs become one space.
 
     Columns read: doc_id, text; others are ignored. Returns one row per input row:
@@ -202,7 +206,7 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int
     result = result.select("doc_id", "keep_id", "group_size", F.coalesce(F.col("doc_id") == F.col("keep_id"), F.col("group_size") == 1).alias("kept"), "digest")
     if not n_hits:
         return result
-    checked = verify(docs, hits, hit_filter(hits, n_hits), digest_bytes)
+    checked = verify(docs, hits, hit_filter(hits, n_hits, filter_bytes), digest_bytes)
     odd = materialise(checked.filter(~F.col("same")).select("digest", "doc_id", "body"), "digest-collisions")
     if odd.isEmpty():
         return result

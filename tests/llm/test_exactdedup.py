@@ -65,3 +65,9 @@ def test_filter_has_no_false_negatives():
     bloom.add(keys)
     assert bloom.has(keys).all()
     assert bloom.has([hashlib.sha256(f"x{i}".encode()).digest() for i in range(500)]).mean() < 0.5
+
+
+def test_full_filter_changes_nothing(spark):
+    rows = [(i, f"text {i % 40}") for i in range(100)]
+    few, none = (exactdedup.exact_duplicates(documents(spark, rows), filter_bytes=n).collect() for n in (4, 1 << 12))
+    assert sorted(map(tuple, few)) == sorted(map(tuple, none)) and len(few) == 100
