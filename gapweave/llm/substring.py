@@ -17,7 +17,7 @@ distance from the window's start, and in one of them it is a reference block. Th
    travels once a task.
 4. repeats of a document join to maximal spans, and the covered words go.
 
-Texts move only once, for documents that have a repeat.
+Texts move once, to meet the spans of their documents.
 """
 
 from __future__ import annotations
@@ -30,15 +30,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.llm.kernels import U64, blocks, gram_hash, inside, span_hash, utf8, word_bounds
+from gapweave.llm.kernels import U64, blocks, gram_hash, inside, span_hash, trimmed, utf8, word_bounds
 from gapweave.llm.shared import materialise
 
 WINDOW = 20
 #: Largest size of the broadcast filter of anchors.
 FILTER_BYTES = 32 << 20
-#: Hashes that one band's task holds at a time, and words that a task gathers before it packs them.
+PAGE_BYTES = 1 << 12
+#: Hashes that one band's task holds at a time, and words that a task gathers before it packs them. For very large
+#: inputs both grow, the second to MAX_BATCH_WORDS, so that a packed set still has some SET_HASHES hashes.
 BAND_HASHES = 3_000_000
 BATCH_WORDS = 2_000_000
+MAX_BATCH_WORDS = 32_000_000
+SET_HASHES = 64
 HASH_BITS = 48
 
 
@@ -99,12 +103,12 @@ def _set_of(hashes: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return plain[at], (keyed[last] & U64(1)).astype(bool), last > at
 
 
-def probes(docs: DataFrame, block: int, bands: int) -> DataFrame:
+def probes(docs: DataFrame, block: int, bands: int, batch_words: int = BATCH_WORDS) -> DataFrame:
     """(band, gaps, marks): packed sets of the hashes of rolling runs, by band of the hash's upper values."""
 
     def packed(hashes: list[np.ndarray], marks: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         values, block_of, twice = _set_of(np.concatenate(hashes), np.concatenate(marks))
-        band = (values * U64(bands)) >> U64(HASH_BITS) if bands < 1 << 15 else (values >> U64(16)) * U64(bands) >> U64(HASH_BITS - 16)
+        band = ((values >> U64(16)) * U64(bands)) >> U64(HASH_BITS - 16)
         cut = np.searchsorted(band, np.arange(bands + 1, dtype=U64))
         for a in range(0, bands, 4096):
             own = [b for b in range(a, min(a + 4096, bands)) if cut[b] < cut[b + 1]]
@@ -124,13 +128,13 @@ def probes(docs: DataFrame, block: int, bands: int) -> DataFrame:
                 hashes.append(h)
                 marks.append(ref)
                 held += len(h)
-                if held >= BATCH_WORDS:
+                if held >= batch_words:
                     yield from packed(hashes, marks)
                     hashes, marks, held = [], [], 0
         if held:
             yield from packed(hashes, marks)
 
-    return docs.select("text").mapInArrow(run, "band int, gaps binary, marks binary")
+    return docs.select("text").mapInArrow(trimmed(run), "band int, gaps binary, marks binary")
 
 
 def _by_band(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
@@ -148,19 +152,18 @@ def _by_band(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tupl
         yield now, rows
 
 
-def _filter_bits(hashes: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of the filter for each hash: both multiply the hash anew, as its upper bits chose the band."""
-    a = (hashes * U64(0x9E3779B97F4A7C15)) >> U64(20)
-    b = (hashes * U64(0xD6E8FEB86659FD93)) >> U64(20)
-    return (a % U64(n_bits)).astype(np.int64), (b % U64(n_bits)).astype(np.int64)
+def _filter_bits(hashes: np.ndarray, n_pages: int, page_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of the filter for each hash, both on the page that its upper bits choose: so a band, a range of
+    hashes, owns a few neighbouring pages."""
+    page = (((hashes >> U64(16)) * U64(n_pages)) >> U64(HASH_BITS - 16)).astype(np.int64) * (8 * page_bytes)
+    shift = U64(64 - (8 * page_bytes).bit_length() + 1)
+    return page + ((hashes * U64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64), page + ((hashes * U64(0xD6E8FEB86659FD93)) >> shift).astype(np.int64)
 
 
-def anchors(found: DataFrame, bands: int, n_bits: int) -> np.ndarray:
+def anchors(found: DataFrame, bands: int, n_pages: int, page_bytes: int = PAGE_BYTES) -> np.ndarray:
     """Filter of the hashes that are a reference block somewhere and occur at two places or more."""
-    step = 1 << 16
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(n_bits // 8, np.uint8)
         for _, rows in _by_band(batches):
             parts, ref, twice = [], [], []
             for gaps, marks in rows:
@@ -176,40 +179,45 @@ def anchors(found: DataFrame, bands: int, n_bits: int) -> np.ndarray:
             flags = np.bitwise_or.reduceat(keyed & U64(3), at)
             many = np.diff(np.append(at, len(plain))) > 1
             live = plain[at][((flags & U64(2)) > 0) & (many | ((flags & U64(1)) > 0))]
-            for bit in _filter_bits(live, n_bits):
+            if not len(live):
+                continue
+            first, second = _filter_bits(live, n_pages, page_bytes)
+            low = int(first.min()) // (8 * page_bytes)
+            high = int(first.max()) // (8 * page_bytes) + 1
+            bits = np.zeros((high - low) * page_bytes, np.uint8)
+            for bit in (first, second):
+                bit = bit - low * 8 * page_bytes
                 np.bitwise_or.at(bits, bit >> 3, (1 << (bit & 7)).astype(np.uint8))
-        for a in range(0, len(bits), step):
-            if bits[a : a + step].any():
-                yield pa.record_batch([pa.array([a // step], pa.int32()), pa.array([bits[a : a + step].tobytes()], pa.binary())], ["at", "bits"])
+            pages = bits.reshape(-1, page_bytes)
+            some = np.flatnonzero(pages.any(1))
+            yield pa.record_batch([pa.array(some + low, pa.int32()), pa.array([pages[i].tobytes() for i in some], pa.binary())], ["at", "bits"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at, rows in _by_band(batches):
-            bits = np.zeros(step, np.uint8)
+            bits = np.zeros(page_bytes, np.uint8)
             for (raw,) in rows:
-                part = np.frombuffer(raw.as_buffer(), np.uint8)
-                bits[: len(part)] |= part
+                bits |= np.frombuffer(raw.as_buffer(), np.uint8)
             yield pa.record_batch([pa.array([at], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["at", "bits"])
 
     sorted_ = found.repartition(bands, "band").sortWithinPartitions("band")
-    parts = sorted_.mapInArrow(meet, "at int, bits binary").repartition(max(1, n_bits // 8 // step // 8), "at").sortWithinPartitions("at")
-    whole = np.zeros(n_bits // 8, np.uint8)
+    parts = sorted_.mapInArrow(trimmed(meet), "at int, bits binary").repartition(max(1, n_pages // 512), "at").sortWithinPartitions("at")
+    whole = np.zeros((n_pages, page_bytes), np.uint8)
     for row in parts.mapInArrow(join, "at int, bits binary").toLocalIterator():
-        at = row["at"] * step
-        whole[at : at + step] = np.frombuffer(bytes(row["bits"]), np.uint8)[: len(whole) - at]
-    return whole
+        whole[row["at"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return whole.ravel()
 
 
 _WINDOW_ROW = np.dtype([("low", "<u8"), ("high", "<u8"), ("doc", "<i8"), ("at", "<i4")])
 _PLACE_ROW = np.dtype([("doc", "<i8"), ("at", "<i4")])
 
 
-def candidates(docs: DataFrame, window: int, block: int, bands: int, shipped) -> DataFrame:
+def candidates(docs: DataFrame, window: int, block: int, bands: int, shipped, batch_words: int = BATCH_WORDS, page_bytes: int = PAGE_BYTES) -> DataFrame:
     """(band, kind, rows): kind 0, the first of equal candidate windows of a task, by band of their hash; kind 1,
     windows that are repeats within the task, by band of their document. Packed as columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shipped.value
-        n_bits = 8 * len(bits)
+        n_pages = len(bits) // page_bytes
         held: list[np.ndarray] = []
 
         def out(rows: np.ndarray, kind: int, band: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -235,7 +243,7 @@ def candidates(docs: DataFrame, window: int, block: int, bands: int, shipped) ->
             for a, b in blocks(offsets):
                 words = _Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 hashes, at, _ = words.anchors(block)
-                x, y = _filter_bits(hashes, n_bits)
+                x, y = _filter_bits(hashes, n_pages, page_bytes)
                 hit = ((bits[x >> 3] >> (x & 7).astype(np.uint8)) & (bits[y >> 3] >> (y & 7).astype(np.uint8)) & 1).astype(bool)
                 if not hit.any():
                     continue
@@ -254,12 +262,12 @@ def candidates(docs: DataFrame, window: int, block: int, bands: int, shipped) ->
                 doc = np.searchsorted(words.of, start, "right") - 1
                 rows["doc"], rows["at"] = ids[a:b][doc], start - words.of[doc]
                 held.append(rows)
-                if sum(map(len, held)) >= BATCH_WORDS // 2:
+                if sum(map(len, held)) >= batch_words // 2:
                     yield from packed()
         if held:
             yield from packed()
 
-    return docs.select("doc_id", "text").mapInArrow(run, "band int, kind byte, rows binary")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "band int, kind byte, rows binary")
 
 
 def _column_rows(raw: bytes, kind: np.dtype) -> np.ndarray:
@@ -323,11 +331,17 @@ def repeats(found: DataFrame, window: int, bands: int) -> DataFrame:
             for a in range(0, len(head), 4096):
                 yield whole.slice(a, 4096)
 
-    places = found.repartition(bands, "band").sortWithinPartitions("band").mapInArrow(first_wins, "band int, rows binary")
-    return places.repartition(bands, "band").sortWithinPartitions("band").mapInArrow(spans, "doc_id long, spans array<struct<start:int,end:int>>")
+    places = found.repartition(bands, "band").sortWithinPartitions("band").mapInArrow(trimmed(first_wins), "band int, rows binary")
+    return places.repartition(bands, "band").sortWithinPartitions("band").mapInArrow(trimmed(spans), "doc_id long, spans array<struct<start:int,end:int>>")
+
+
+def sizes(words: int, batch_words: int = BATCH_WORDS) -> tuple[int, int]:
+    """Number of bands, and words of a batch, for so many words in all."""
+    bands = int(-(-words // max(BAND_HASHES, SET_HASHES * words // MAX_BATCH_WORDS))) + 1
+    return bands, max(batch_words, min(MAX_BATCH_WORDS, SET_HASHES * bands))
 
 
-def repeat_spans(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def repeat_spans(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER_BYTES, batch_words: int = BATCH_WORDS, page_bytes: int = PAGE_BYTES) -> DataFrame:
     """(doc_id, spans): for documents with repeats, their maximal spans of removed words [start, end).
 
     Columns read: doc_id (unique, not null for the rows to count), text; others are ignored."""
@@ -335,14 +349,14 @@ def repeat_spans(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILT
     block = max(1, window // 2)
     size = docs.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0
     words = size // 4 + 1
-    bands = int(-(-words // BAND_HASHES)) + 1
-    n_bits = int(min(8 * filter_bytes, max(1 << 20, 1 << int(2 * words).bit_length())))
-    bits = anchors(probes(docs, block, bands), bands, n_bits)
+    bands, batch_words = sizes(words, batch_words)
+    wanted = 1 << int(words // 4).bit_length()  # bytes: two bits or more for each word
+    bits = anchors(probes(docs, block, bands, batch_words), bands, max(1, min(filter_bytes, wanted) // page_bytes), page_bytes)
     shipped = docs.sparkSession.sparkContext.broadcast(bits)
-    return materialise(repeats(candidates(docs, window, block, bands, shipped), window, bands), "repeat-spans")
+    return materialise(repeats(candidates(docs, window, block, bands, shipped, batch_words, page_bytes), window, bands), "repeat-spans")
 
 
-def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER_BYTES) -> DataFrame:
+def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER_BYTES, **more: int) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): the words of each text that no repeated window covers, joined by one space.
 
     A window is a repeat if its words start earlier too: at a smaller doc_id, or earlier in the same
@@ -350,7 +364,7 @@ def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER
     its spans. A null or empty text has no words; a null doc_id keeps all its words. An empty
     table gives an empty table.
     """
-    spans = repeat_spans(docs, window, filter_bytes)
+    spans = repeat_spans(docs, window, filter_bytes, **more)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -368,4 +382,4 @@ def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER
                 yield pa.record_batch([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(spans.hint("shuffle_hash"), "doc_id", "left")
-    return rows.select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, n_words long, n_removed long, kept binary")
+    return rows.select("doc_id", "text", "spans").mapInArrow(trimmed(run), "doc_id long, n_words long, n_removed long, kept binary")

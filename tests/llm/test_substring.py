@@ -42,7 +42,6 @@ def test_query_equals_brute_force(spark, sf_dir):
 
 
 def test_small_alphabets_and_partitions(spark, monkeypatch):
-    monkeypatch.setattr(substring, "BATCH_WORDS", 500)
     monkeypatch.setattr(substring, "BAND_HASHES", 300)
     rng = random.Random(3)
     phrase = " ".join(f"p{i}" for i in range(27))
@@ -52,8 +51,9 @@ def test_small_alphabets_and_partitions(spark, monkeypatch):
         words[rng.randint(0, len(words)) : 0] = phrase.split()[rng.randint(0, 9) :] * rng.randint(0, 2)
         rows.append((i * 7 % 120, " ".join(words)))
     for window in (1, 2, 5, 20):
-        assert run(documents(spark, rows).repartition(5), window=window) == brute(rows, window)
-    assert run(documents(spark, rows), filter_bytes=8) == brute(rows)
+        assert run(documents(spark, rows).repartition(5), window=window, batch_words=300) == brute(rows, window)
+    assert run(documents(spark, rows).repartition(3), filter_bytes=8, page_bytes=8) == brute(rows)
+    assert run(documents(spark, rows).repartition(3), filter_bytes=80, page_bytes=8, batch_words=200) == brute(rows)
 
 
 def test_awkward_rows(spark):
@@ -61,3 +61,10 @@ def test_awkward_rows(spark):
     assert run(documents(spark, rows)) == brute(rows)
     assert substring.kept_words(documents(spark)).count() == len(ROWS)
     assert substring.kept_words(documents(spark).limit(0)).count() == 0
+
+
+def test_packed_sets_stay_worth_their_rows_at_any_size():
+    for words in (10, 10**6, 10**9, 10**11, 10**13, 10**15):
+        bands, batch = substring.sizes(words)
+        assert batch <= substring.MAX_BATCH_WORDS and batch >= 0.99 * substring.SET_HASHES * (bands - 2)
+        assert words / bands <= max(substring.BAND_HASHES, 2.1e-6 * words)
