@@ -226,13 +226,15 @@ _ML = f'sequence_id, {_TEXT} AS "{_NAMES["ts_text"]}", event_type AS "{_NAMES[EV
 
 @query(_K + "SELECT user_id, " + _ML)
 def full_pipeline(spark, sf_dir):
-    return ml_columns(kept(spark, sf_dir), KEYED)
+    rows = segment(cleaned(spark, sf_dir), KEYED, M_, outages=(P_, H_)).filter("not purged").drop("purged")
+    rows = segment(rows, KEYED, M_, carry=(GLUCOSE, INSULIN, CARB))
+    return ml_columns(of_length(fill_gaps(rows, KEYED, E_, M_, nan_glucose=False), KEYED, N_), KEYED)
 
 
 @query(_U + "SELECT " + _ML)
 def full_pipeline_unkeyed(spark, sf_dir):
-    rows = segment(cleaned(spark, sf_dir), SINGLE, 15)
-    rows = segment(purge_after_outages(rows, SINGLE, 30, 2), SINGLE, 15)
+    rows = segment(cleaned(spark, sf_dir), SINGLE, 15, outages=(30, 2)).filter("not purged").drop("purged")
+    rows = segment(rows, SINGLE, 15, carry=(GLUCOSE, INSULIN, CARB))
     return ml_columns(of_length(fill_gaps(rows, SINGLE, 5, 15, nan_glucose=False), SINGLE, 30), SINGLE)
 
 

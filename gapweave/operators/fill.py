@@ -13,9 +13,11 @@ from gapweave.schema import EVENT, GLUCOSE, INTERPOLATED, SEQUENCE, TS, TS_TEXT,
 def gap_census(df: DataFrame, series: Series, interval_minutes: float = 5, gap_max_minutes: float = 15) -> DataFrame:
     """Segmented df with the values before each row (prev_*), small_gap and points: how many rows fill it.
 
-    A gap longer than gap_max breaks the sequence, so a short one never crosses two."""
+    A gap longer than gap_max breaks the sequence, so a short one never crosses two. What segment() has carried
+    over is used, else it is looked up."""
     values = [c for c in VALUES if c in df.columns]
-    df = previous(df, series, [TS, SEQUENCE, *values])
+    if not {f"prev_{c}" for c in (TS, SEQUENCE, *values)} <= set(df.columns):
+        df = previous(df, series, [TS, SEQUENCE, *values])
     minutes = seconds_between("prev_ts", TS) / F.lit(60.0)
     small = (minutes > F.lit(float(interval_minutes))) & (minutes <= F.lit(float(gap_max_minutes))) & (F.col("prev_sequence_id") == F.col(SEQUENCE))
     df = df.withColumn("small_gap", F.coalesce(small, F.lit(False)))
@@ -33,7 +35,7 @@ def fill_gaps(df: DataFrame, series: Series, interval_minutes: float = 5, gap_ma
     One pass: each row emits the points before it and itself. A value is interpolated if both neighbours have
     it, else it is null; glucose is NaN then if nan_glucose. drop_first leaves out rows without a sequence_id.
     generated tells the new rows."""
-    names = [c for c in df.columns if c not in ("diff_s", "is_gap")]
+    names = [c for c in df.columns if c not in ("diff_s", "is_gap") and not c.startswith("prev_")]
     values = [c for c in VALUES if c in names]
     df = gap_census(df, series, interval_minutes, gap_max_minutes)
     if drop_first:

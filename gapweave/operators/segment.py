@@ -93,12 +93,73 @@ def gaps(df: DataFrame, series: Series, gap_max_minutes: float) -> DataFrame:
     return df.withColumn("diff_s", seconds_between("prev_ts", TS)).withColumn("is_gap", F.col("diff_s") > F.lit(gap_max_minutes * 60)).drop("prev_ts")
 
 
-def segment(df: DataFrame, series: Series, gap_max_minutes: float = 15, first_id: int | None = None) -> DataFrame:
+def _windowed(df: DataFrame, series: Series, gap_max_minutes: float, period_minutes: float | None, carry: tuple[str, ...]) -> DataFrame:
+    """df with what one window (a series, or a span of it) knows: _prev, the row before; diff_s, is_gap; _gaps and
+    _end, the gaps and the last outage's end so far; _head, its first row's place."""
+    w = series.window()
+    so_far = w.rowsBetween(W.unboundedPreceding, W.currentRow)
+    place = F.struct(*series.order)
+    df = df.withColumns({"_prev": F.lag(F.struct(*series.order, *carry)).over(w), "_head": F.first(place).over(so_far)})
+    df = df.withColumn("diff_s", seconds_between("_prev.ts", TS)).withColumn("is_gap", F.col("diff_s") > F.lit(gap_max_minutes * 60))
+    df = df.withColumn("_gaps", F.sum(F.col("is_gap").cast("long")).over(so_far))
+    end = F.lit(None).cast("timestamp_ntz") if period_minutes is None else F.max(outage_ends(df, period_minutes)).over(so_far)
+    return df.withColumn("_end", end)
+
+
+def _joined_spans(df: DataFrame, series: Series, gap_max_minutes: float, period_minutes: float | None, carry: tuple[str, ...]) -> DataFrame:
+    """_windowed() over whole series from spans of them: one table with a row a span carries over all that a span
+    needs of those before it, so df is read twice."""
+    rows = _windowed(series.cut(df), series, gap_max_minutes, period_minutes, carry)
+    last = F.max_by(F.struct(*series.order, *carry), F.struct(*series.order))
+    table = rows.groupBy(*series.parts).agg(F.min(TS).alias("_first_ts"), last.alias("_last"), F.min(F.struct(*series.order)).alias("_own_head"), F.count_if("is_gap").alias("_n"), F.max("_end").alias("_own_end"))
+    spans = series.spans()
+    before, up_to = spans.rowsBetween(W.unboundedPreceding, -1), spans.rowsBetween(W.unboundedPreceding, W.currentRow)
+    table = table.withColumns({"_edge_prev": F.lag("_last").over(spans), "_series_head": F.first("_own_head").over(up_to)})
+    table = table.withColumn("_edge_s", seconds_between("_edge_prev.ts", "_first_ts")).withColumn("_edge_gap", F.col("_edge_s") > F.lit(gap_max_minutes * 60))
+    edge_end = F.lit(None).cast("timestamp_ntz") if period_minutes is None else F.when(F.col("_edge_gap") & (F.col("_edge_s") >= F.lit(period_minutes * 60)), F.col("_first_ts"))
+    table = table.withColumn("_edge_end", edge_end)
+    count = F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.coalesce(F.sum(F.col("_edge_gap").cast("long")).over(up_to), F.lit(0))
+    end = F.greatest(F.max(F.greatest("_own_end", "_edge_end")).over(before), F.col("_edge_end"))
+    table = table.select(*series.parts, "_edge_prev", "_edge_s", "_edge_gap", "_series_head", count.alias("_count"), end.alias("_before_end"))
+    rows = join_null_safe(rows, table, series.parts)
+    first = F.col("_prev").isNull()
+    whole = F.when(first & F.col("_edge_prev").isNull(), None).otherwise(F.col("_count") + F.coalesce("_gaps", F.lit(0)))
+    out = {
+        "diff_s": F.when(first, F.col("_edge_s")).otherwise(F.col("diff_s")),
+        "is_gap": F.when(first, F.col("_edge_gap")).otherwise(F.col("is_gap")),
+        "_gaps": whole,
+        "_end": F.greatest("_end", "_before_end"),
+        "_head": F.col("_series_head"),
+        "_prev": F.when(first, F.col("_edge_prev")).otherwise(F.col("_prev")),
+    }
+    return rows.withColumns(out).drop("_edge_prev", "_edge_s", "_edge_gap", "_series_head", "_count", "_before_end", _SPAN)
+
+
+def segment(df: DataFrame, series: Series, gap_max_minutes: float = 15, first_id: int | None = None, outages: tuple[float, float] | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """df with diff_s, is_gap and sequence_id: the number of gaps so far. A series' first row has no gap and so
-    first_id, null by default; rows after it count from 0."""
+    first_id, null by default; rows after it count from 0.
+
+    outages (period_minutes, hours) adds purged, as after_outage() would. carry adds the columns' values in the
+    row before as prev_*, with prev_ts and prev_sequence_id, for fill_gaps(). Either costs no pass of its own."""
     df = df.drop("diff_s", "is_gap", SEQUENCE)
-    df = running(gaps(df, series, gap_max_minutes), series, F.col("is_gap").cast("long"), SEQUENCE, F.sum)
-    return df if first_id is None else df.withColumn(SEQUENCE, F.coalesce(SEQUENCE, F.lit(first_id).cast("long")))
+    run = _joined_spans if series.span else _windowed
+    df = run(df, series, gap_max_minutes, outages[0] if outages else None, carry)
+    known = F.lit(first_id).cast("long")
+    out = {SEQUENCE: F.coalesce("_gaps", known)}
+    if outages:
+        out["purged"] = _within(F.col("_end"), outages[1])
+    if carry:
+        behind = F.col("_gaps") - F.col("is_gap").cast("long")
+        at_head = F.struct(*(F.col(f"_prev.{c}") for c in series.order)) == F.col("_head")
+        out["prev_" + SEQUENCE] = F.when(F.col("_prev").isNotNull(), F.when(at_head, known).otherwise(behind))
+        out |= {f"prev_{c}": F.col(f"_prev.{c}") for c in (TS, *carry)}
+    return df.withColumns(out).drop("_prev", "_head", "_gaps", "_end")
+
+
+def _within(end: Column, hours: float) -> Column:
+    """Whether ts lies at most so long after an outage's end."""
+    reach = F.timestamp_add("MICROSECOND", F.lit(int(hours * 3_600_000_000)), end).cast("timestamp_ntz")
+    return F.coalesce(reach >= F.col(TS), F.lit(False))
 
 
 def outage_ends(df: DataFrame, period_minutes: float) -> Column:
@@ -112,8 +173,7 @@ def after_outage(df: DataFrame, series: Series, period_minutes: float, hours: fl
     All intervals have one length, so the latest start decides; its row is the first of its time, so a
     running maximum over rows serves rows of equal time alike."""
     df = running(df, series, outage_ends(df, period_minutes), "_end", F.max)
-    reach = F.timestamp_add("MICROSECOND", F.lit(int(hours * 3_600_000_000)), F.col("_end")).cast("timestamp_ntz")
-    return df.withColumn("purged", F.coalesce(reach >= F.col(TS), F.lit(False))).drop("_end")
+    return df.withColumn("purged", _within(F.col("_end"), hours)).drop("_end")
 
 
 def purge_after_outages(df: DataFrame, series: Series, period_minutes: float = 165, hours: float = 24) -> DataFrame:

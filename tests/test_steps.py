@@ -149,6 +149,13 @@ def test_properties(spark, found):
     assert [list(map(str, r)) for r in key(seg)] == [list(map(str, r)) for r in key(again)]
     a, b, c = (sorted(r["n"] for r in f(seg, s, 60, 1.5).collect()) for f, s in ((purge_after_outages, series), (purge_after_outages, cut), (purge_by_join, series)))
     assert a == b == c
+    for s in (series, cut):
+        one = segment(drop_events(df), s, 15, outages=(60, 1.5), carry=("glucose",))
+        assert sorted(r["n"] for r in one.filter("not purged").collect()) == a
+        lagged = segment(drop_events(df), s, 15, carry=("glucose", "insulin", "carb"))
+        assert sorted(str(tuple(r)) for r in fill_gaps(lagged, s, 5, 15).select("k", "sequence_id", "ts", "glucose", "event_type").collect()) == sorted(
+            str(tuple(r)) for r in fill_gaps(seg, series, 5, 15).select("k", "sequence_id", "ts", "glucose", "event_type").collect()
+        )
     full = fill_gaps(seg, series, 5, 15)
     other = fill_gaps(again, cut, 5, 15)
     show = lambda d: sorted(str(tuple(r)) for r in d.select("k", "sequence_id", "ts", "glucose", "event_type").collect())
