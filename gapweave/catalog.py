@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gapweave.functions import configure, time_text, to_time
 from gapweave.operators import Series, drop_events, fill_gaps, gap_census, ml_columns, of_length, purge_after_outages, replace_sentinels, segment, value_only
 from gapweave.operators.segment import after_outage, gaps, outage_ends, purge_by_join
-from gapweave.operators.select import lengths, of_length_by_window
+from gapweave.operators.select import lengths, of_length_by_join, of_length_by_window
 from gapweave.plans import stats
 from gapweave.schema import CALIBRATION, CARB, EVENT, FILE_COLUMNS, GLUCOSE, HIGH, INSULIN, INTERPOLATED, LOW, SEQUENCE, TS
 from gapweave.sources import from_frame
@@ -210,9 +210,9 @@ def length_filter_window(spark, sf_dir):
     return _shown(of_length_by_window(filled(spark, sf_dir), KEYED, N_))
 
 
-@query(_K + _FILLED + "kept")
+@query(_K + _FILLED + f"filled WHERE (user_id, sequence_id) IN (SELECT (user_id, sequence_id) FROM filled GROUP BY user_id, sequence_id HAVING count(*) >= {N_})")
 def length_filter_semi(spark, sf_dir):
-    return _shown(kept(spark, sf_dir))
+    return _shown(of_length_by_join(filled(spark, sf_dir), KEYED, N_))
 
 
 @query(_K + f"SELECT user_id, sequence_id, {_TEXT} AS time, glucose FROM kept WHERE glucose IS NOT NULL")

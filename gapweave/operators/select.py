@@ -19,16 +19,22 @@ def lengths(df: DataFrame, series: Series) -> DataFrame:
 def of_length(df: DataFrame, series: Series, least: int = 200, fallback: bool = True) -> DataFrame:
     """Rows of sequences with at least so many rows; rows without an id go.
 
-    fallback: if no sequence of the whole table is that long, all rows stay. To know that, one small job runs.
-    The counts are aggregated before they meet the rows, so a long sequence is not gathered in one task."""
+    fallback: if no sequence of the whole table is that long, all rows stay. To know that, one job runs until it
+    meets a long one. Where series are windows already, the count is one more window on the same exchange; else
+    counts are aggregated before they meet the rows, so a long sequence is not gathered in one task."""
+    by = of_length_by_window if series.keys and not series.span else of_length_by_join
+    long = by(df, series, least)
+    return df if fallback and long.isEmpty() else long
+
+
+def of_length_by_join(df: DataFrame, series: Series, least: int = 200) -> DataFrame:
+    """Rows of long sequences by a semi-join with the counts."""
     long = lengths(df, series).filter((F.col("length") >= least) & F.col(SEQUENCE).isNotNull()).drop("length")
-    if fallback and long.isEmpty():
-        return df
     return join_null_safe(df, long, [*series.keys, SEQUENCE], "left_semi")
 
 
 def of_length_by_window(df: DataFrame, series: Series, least: int = 200) -> DataFrame:
-    """The same without fallback by a windowed count; shares the exchange of the windows before it."""
+    """Rows of long sequences by a windowed count."""
     size = F.count("*").over(W.partitionBy(*series.keys, SEQUENCE))
     return df.withColumn("_length", size).filter((F.col("_length") >= least) & F.col(SEQUENCE).isNotNull()).drop("_length")
 
