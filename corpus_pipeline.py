@@ -1,7 +1,9 @@
 """A corpus cleaned, deduplicated, redacted and packed, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; all but
-the last return the columns of documents.
+the last return the columns of documents. Decisions go by doc_id: rows that repeat one share its
+decision, and rows with a null doc_id stay, as nothing names them. Null and empty texts go in the
+first stage, having no language. An empty table passes through all stages.
 """
 
 from __future__ import annotations

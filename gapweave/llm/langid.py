@@ -74,13 +74,13 @@ class TextModel:
 
 
 def sample(rows: DataFrame, most: int = SAMPLE_ROWS) -> dict[str, list[int]]:
-    """For each declared language at most `most` ids, those of smallest hash."""
+    """For each declared language at most `most` ids, those of smallest hash; an id that comes often counts as often."""
     named = rows.filter("id is not null and declared is not null and declared <> ''").select("id", "declared")
     common = named.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES).collect()
     out = {}
     for row in common:
-        own = named.filter(F.col("declared") == row["declared"]).select("id").distinct().orderBy(F.xxhash64("id"), "id").limit(most)
-        out[row["declared"]] = [r[0] for r in own.collect()]
+        own = named.filter(F.col("declared") == row["declared"]).select("id").orderBy(F.xxhash64("id"), "id").limit(most)
+        out[row["declared"]] = sorted({r[0] for r in own.collect()})
     return out
 
 
@@ -207,17 +207,21 @@ def of_documents(docs: DataFrame) -> DataFrame:
 
 
 def of_pages(pages: DataFrame) -> DataFrame:
-    """pages as evidence: the text between tags, the html element's lang, and the address."""
+    """pages as evidence: html as it is, for without_markup(), the html element's lang, and the address."""
     host = F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1))
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
     head = F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
     blank = lambda c: F.when(c != "", c)
     rows = pages.select(F.col("page_id").cast("long").alias("id"), "html", blank(head).alias("declared"), blank(host).alias("host"))
-    rows = rows.select("id", "html", "declared", "host", F.coalesce(blank(domain), "host").alias("domain"), blank(F.regexp_extract("host", r"\.([^.]+)$", 1)).alias("suffix"))
+    return rows.select("id", F.col("html").alias("text"), "declared", "host", F.coalesce(blank(domain), "host").alias("domain"), blank(F.regexp_extract("host", r"\.([^.]+)$", 1)).alias("suffix"))
+
+
+def without_markup(rows: DataFrame) -> DataFrame:
+    """rows with the text between the tags of their html; scripts, styles and comments go."""
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = [h and _TAG.sub(" ", _HIDDEN.sub(" ", h)) for h in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(text, pa.string()), *batch.columns[2:]], ["id", "text", "declared", "host", "domain", "suffix"])
 
-    return rows.mapInArrow(trimmed(strip), "id long, text string, declared string, host string, domain string, suffix string")
+    return rows.select("id", "text", "declared", "host", "domain", "suffix").mapInArrow(trimmed(strip), "id long, text string, declared string, host string, domain string, suffix string")

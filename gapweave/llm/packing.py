@@ -37,7 +37,7 @@ _MARK, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
 _MARK[list(MARKS)] = True
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 #: Rows of one length that are numbered together; a length with more rows has more buckets.
-RANK_ROWS = 500
+RANK_ROWS = 250
 
 
 class WordIds:

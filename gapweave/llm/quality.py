@@ -83,8 +83,8 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 
 def trusted_ids(labels: DataFrame, most: int = TRUSTED_ROWS) -> list[int]:
     """At most `most` doc_ids labelled good and not toxic, those of smallest hash: the same at every run."""
-    good = labels.filter("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long")).distinct()
-    return [r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()]
+    good = labels.filter("doc_id is not null and quality = 1 and coalesce(toxic, 0) = 0").select(F.col("doc_id").cast("long"))
+    return sorted({r[0] for r in good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).collect()})
 
 
 def fit(docs: DataFrame, ids: list[int], smooth: float = SMOOTH) -> np.ndarray:

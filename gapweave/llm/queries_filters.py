@@ -10,8 +10,9 @@ from gapweave.llm.shared import table
 def op5_evidence_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gapweave.llm import langid
 
-    rows = langid.of_pages(table(spark, sf_dir, "pages"))
-    model = langid.fit(rows, langid.sample(rows))
+    pages = langid.of_pages(table(spark, sf_dir, "pages"))
+    rows = langid.without_markup(pages)
+    model = langid.fit(rows, langid.sample(pages))
     return langid.identify(rows, model).withColumnRenamed("id", "page_id")
 
 
