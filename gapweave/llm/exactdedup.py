@@ -1,11 +1,12 @@
 """Exact deduplication by a log-structured merge index of text digests.
 
 Each task keeps a memtable (digest -> smallest doc_id, count). A full memtable is flushed
-as a run sorted by digest, with a Bloom filter of its digests. Compaction merges all runs
-through Spark's sorted shuffle and keeps the smallest identifier; digests that only one
-document has leave there. Every hit is then verified byte by byte against the text of the
-row that stays, in salted groups, so that a group of copies of any size is shared out.
-Texts that share a digest and yet differ are grouped by the text itself.
+as a run sorted by digest, into files that hold Bloom filters of their digests. Compaction
+merges all runs into one level, sorted files with filters again, and keeps the smallest
+identifier; digests that only one document has leave there. One filter of the digests with
+hits, of fixed size, tells which texts must travel. Every hit is then verified byte by byte
+against the text of the row that stays, in salted groups, so that a group of copies of any
+size is shared out. Texts that share a digest and yet differ are grouped by the text itself.
 """
 
 from __future__ import annotations
@@ -27,15 +28,17 @@ SALT_ROWS = 1_000
 #: Upper bound of the broadcast filter of hit digests; beyond its capacity it only lets more rows through to the exact join.
 FILTER_BYTES = 8 << 20
 
+#: The files of runs and levels hold a Bloom filter of each row group's digests, which lookup() uses.
+RUN_FILES = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.expected.ndv#digest": "50000"}
 SPACES = b" \t\n\r\v\f"
 
 
 def normalise(text: bytes) -> bytes:
     """Each run of space and 0x09-0x0D becomes one space, at the ends too."""
     body = b" ".join(text.split())
-    if not text or (not body and text):
+    if not body:
         return b" " if text else b""
-    return (b" " if text[:1] in (b" ", b"\t", b"\n", b"\r", b"\v", b"\f") else b"") + body + (b" " if text[-1:] in (b" ", b"\t", b"\n", b"\r", b"\v", b"\f") else b"")
+    return (b" " if text[0] in SPACES else b"") + body + (b" " if text[-1] in SPACES else b"")
 
 
 def digest(norm: bytes, size: int) -> bytes:
@@ -123,6 +126,11 @@ def compact(runs: DataFrame) -> DataFrame:
     return runs.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.sum("run_rows").alias("group_size"))
 
 
+def lookup(level: DataFrame, digests: list[bytes]) -> DataFrame:
+    """The level's rows of a few digests; files whose ranges and filters exclude them are not read."""
+    return level.filter(F.col("digest").isin([F.lit(d) for d in digests])) if digests else level.limit(0)
+
+
 def hit_filter(hits: DataFrame, n_hits: int, most: int = FILTER_BYTES) -> np.ndarray:
     """One Bloom filter of fixed largest size for the digests of hits, joined from the tasks' filters by OR.
 
@@ -198,8 +206,8 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int
     doc_id is the smallest one. A null doc_id never becomes keep_id unless the group has
     no other, and has kept false beside others. An empty table gives an empty table.
     """
-    rows = materialise(log(docs, digest_bytes, memtable_rows), "digest-log")
-    level = materialise(compact(rows.filter("run_rows > 0")), "digest-level")
+    rows = materialise(log(docs, digest_bytes, memtable_rows), "digest-log", RUN_FILES)
+    level = materialise(compact(rows.filter("run_rows > 0")).sortWithinPartitions("digest"), "digest-level", RUN_FILES)
     hits = level.filter("group_size > 1")
     n_hits = hits.count()
     result = rows.filter("run_rows = 0").select("digest", "doc_id").join(level, "digest")

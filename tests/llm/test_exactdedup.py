@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from gapweave.llm import exactdedup, queries
+from gapweave.llm import exactdedup, queries, shared
 from gapweave.llm.shared import table
 from tests.llm.cases import ROWS, documents
 
@@ -71,3 +71,15 @@ def test_full_filter_changes_nothing(spark):
     rows = [(i, f"text {i % 40}") for i in range(100)]
     few, none = (exactdedup.exact_duplicates(documents(spark, rows), filter_bytes=n).collect() for n in (4, 1 << 12))
     assert sorted(map(tuple, few)) == sorted(map(tuple, none)) and len(few) == 100
+
+
+def test_runs_are_sorted_and_levels_can_be_looked_up(spark):
+    table_ = exactdedup.Memtable(3)
+    for key, i in ((b"b", 5), (b"a", 7), (b"b", 2), (b"c", None), (b"c", 9)):
+        table_.put(key, i)
+    assert table_.full() and table_.flush() == [(b"a", 7, 1), (b"b", 2, 2), (b"c", 9, 2)] and not table_.rows
+    rows = exactdedup.log(documents(spark), limit=4)
+    level = shared.materialise(exactdedup.compact(rows.filter("run_rows > 0")).sortWithinPartitions("digest"), "level", exactdedup.RUN_FILES)
+    key = hashlib.sha256(norm("one").encode()).digest()
+    assert [(r["keep_id"], r["group_size"]) for r in exactdedup.lookup(level, [key, b"none"]).collect()] == [(10, 3)]
+    assert exactdedup.lookup(level, []).count() == 0
