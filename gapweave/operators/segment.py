@@ -52,8 +52,8 @@ def join_null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str
     """Join on equal names; a null equals a null, as it does in windows and groups."""
     right = right.select(*(F.col(c).alias(f"_right_{c}") if c in names else F.col(c) for c in right.columns))
     on = F.lit(True)
-    for c in names:
-        on = on & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    for c in names:  # spans are never null, and plain equality keeps the partitioning that windows have made
+        on = on & (F.col(c) == F.col(f"_right_{c}") if c == _SPAN else F.col(c).eqNullSafe(F.col(f"_right_{c}")))
     return left.join(right, on, how).drop(*(f"_right_{c}" for c in names))
 
 

@@ -74,7 +74,9 @@ def sequence_lengths(df: DataFrame, series: Series) -> dict:
     return {(tuple(r[k] for k in series.keys) + (r[SEQUENCE],) if series.keys else r[SEQUENCE]): r["length"] for r in rows}
 
 
-def tree(p: Prepared) -> dict[str, Any]:
+def tree(p: Prepared, each_sequence: bool = True) -> dict[str, Any]:
+    """The whole tree. each_sequence brings the length of every sequence to the driver; without it that leaf is empty, and
+    what comes is of bounded size but for the histogram, which has a row for each different length."""
     c, series = p.config, p.series
     raw = dict(p.source.dtypes)[GLUCOSE] == "string" and c.replacement_enabled
     exact = lambda word: F.count_if(F.col(GLUCOSE) == word) if raw else F.lit(0)
@@ -85,7 +87,8 @@ def tree(p: Prepared) -> dict[str, Any]:
         hit = F.when(F.col("purged"), F.struct(*series.keys, SEQUENCE))
         outage = _one(p.first, outages=F.count(outage_ends(p.first, c.calibration_period_minutes)), purged=F.count_if("purged"), affected=F.count_distinct(hit))
     found = gap_counts(p.segmented, series).first()
-    sizes = sequence_lengths(p.segmented, series)
+    sizes = sequence_lengths(p.segmented, series) if each_sequence else {}
+    several = lengths(p.segmented, series).filter((F.col("length") >= 2) & F.col(SEQUENCE).isNotNull()).count()
     fills = fill_counts(p.segmented, series, c.expected_interval_minutes, c.small_gap_max_minutes, c.drops_first).first()
     whole = lengths(p.filled, series).agg(F.count("*").alias("s"), F.coalesce(F.sum("length"), F.lit(0)).alias("r"), F.coalesce(F.max("length"), F.lit(0)).alias("m")).first()
     final = lengths(p.valued, series)
@@ -120,7 +123,7 @@ def tree(p: Prepared) -> dict[str, Any]:
             "glucose_value_mg/dl_interpolations": fills["glucose"],
             "insulin_value_u_interpolations": fills["insulin"],
             "carb_value_grams_interpolations": fills["carb"],
-            "sequences_processed": sum(n >= 2 for k, n in sizes.items() if (k[-1] if series.keys else k) is not None),
+            "sequences_processed": several,
             "small_gaps_filled": fills["small_gaps_filled"],
             "large_gaps_skipped": 0,  # a large gap always ends a sequence
         },

@@ -72,6 +72,7 @@ def test_golden_statistics(golden):
     length = s["sequence_analysis"]["sequence_lengths"]
     assert (length["mean"], length["std"], length["25%"], length["50%"], length["75%"], length["max"], length["min"]) == (7, 4, 5, 7, 9, 11, 3)
     assert s["sequence_analysis"]["sequences_by_length"] == {3: 1, 11: 1}
+    assert prepare(golden, CONFIG).statistics(each_sequence=False)["interpolation_analysis"] == fill
     quality = s["data_quality"]
     assert [round(quality[k], 3) for k in ("glucose_data_completeness", "insulin_data_completeness", "carb_data_completeness")] == [92.857, 7.143, 0]
     assert quality["interpolated_records"] == 5
