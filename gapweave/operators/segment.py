@@ -9,7 +9,7 @@ a hot key ends up in one task.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -19,6 +19,8 @@ from gapweave.functions import seconds_between
 from gapweave.schema import SEQUENCE, TIES, TS
 
 _SPAN = "_span"
+#: Rows of one series that one task may sort; larger series are cut.
+WINDOW_ROWS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -48,6 +50,16 @@ class Series:
         return df.withColumn(_SPAN, F.date_trunc(self.span, TS)) if self.span else df
 
 
+def balanced(df: DataFrame, series: Series, most: int = WINDOW_ROWS, span: str = "day") -> Series:
+    """series as it is, or cut into spans if the largest one has more than `most` rows, which would be one task's
+    window. One small aggregation runs; the rows that come out are the same either way."""
+    if series.span:
+        return series
+    sizes = df.groupBy(*series.keys).count() if series.keys else df.agg(F.count("*").alias("count"))
+    largest = sizes.agg(F.max("count")).first()[0] or 0
+    return replace(series, span=span) if largest > most else series
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
     """Join on equal names; a null equals a null, as it does in windows and groups."""
     right = right.select(*(F.col(c).alias(f"_right_{c}") if c in names else F.col(c) for c in right.columns))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gapweave.config import Config
 from gapweave.functions import configure, replace_first, seconds_between, strip, time_text, to_number, to_time
-from gapweave.operators import Series, drop_events, fill_gaps, ml_columns, of_length, purge_after_outages, replace_sentinels, segment
+from gapweave.operators import Series, balanced, drop_events, fill_gaps, ml_columns, of_length, purge_after_outages, replace_sentinels, segment
 from gapweave.operators.segment import purge_by_join
 from gapweave.plans import prepare
 
@@ -51,6 +51,12 @@ def test_golden_rows(golden, span):
     assert shown(prepare(golden, CONFIG, Series(span=span)).kept) == WANT
 
 
+def test_large_series_are_cut(golden):
+    assert balanced(golden, Series(), most=15) == Series() and balanced(golden, Series(), most=14).span == "day"
+    assert balanced(golden, Series(("event_type",)), most=13).span is None and balanced(golden, Series(("event_type",)), most=12).span == "day"
+    assert balanced(golden, Series(span="hour"), most=1).span == "hour" and balanced(golden.limit(0), Series(), most=1).span is None
+
+
 def test_golden_rows_clean(golden):
     got = shown(prepare(golden, CONFIG.but(compat="clean")).kept)
     assert got == [(0, "00:00", "EGV", 100.0)] + [(s, t, e, None if g == "nan" else g) for s, t, e, g in WANT]
