@@ -1,10 +1,10 @@
 """Exact deduplication by a log-structured merge index of text digests.
 
 Each task keeps a memtable (digest -> smallest doc_id, count). A full memtable is flushed
-as a run sorted by digest, into files that hold Bloom filters of their digests. Compaction
-merges all runs into one level, sorted files with filters again, and keeps the smallest
-identifier; digests that only one document has leave there. One filter of the digests with
-hits, of fixed size, tells which texts must travel. Every hit is then verified byte by byte
+as a run sorted by digest. Compaction merges all runs into one level of sorted files and
+keeps the smallest identifier; digests that only one document has leave there. The level's
+filter, a Bloom filter of fixed size over its digests with hits, tells which texts must
+travel: no run is probed on its own, so none has a filter of its own. Every hit is then verified byte by byte
 against the text of the row that stays, in salted groups, so that a group of copies of any
 size is shared out. Texts that share a digest and yet differ are grouped by the text itself.
 """
@@ -28,8 +28,6 @@ SALT_ROWS = 1_000
 #: Upper bound of the broadcast filter of hit digests; beyond its capacity it only lets more rows through to the exact join.
 FILTER_BYTES = 8 << 20
 
-#: The files of runs and levels hold a Bloom filter of each row group's digests, which lookup() uses.
-RUN_FILES = {"parquet.bloom.filter.enabled#digest": "true", "parquet.bloom.filter.expected.ndv#digest": "50000"}
 SPACES = b" \t\n\r\v\f"
 
 
@@ -127,7 +125,7 @@ def compact(runs: DataFrame) -> DataFrame:
 
 
 def lookup(level: DataFrame, digests: list[bytes]) -> DataFrame:
-    """The level's rows of a few digests; files whose ranges and filters exclude them are not read."""
+    """The level's rows of a few digests; the files are sorted, so row groups whose ranges exclude them are not read."""
     return level.filter(F.col("digest").isin([F.lit(d) for d in digests])) if digests else level.limit(0)
 
 
@@ -206,8 +204,8 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int
     doc_id is the smallest one. A null doc_id never becomes keep_id unless the group has
     no other, and has kept false beside others. An empty table gives an empty table.
     """
-    rows = materialise(log(docs, digest_bytes, memtable_rows), "digest-log", RUN_FILES)
-    level = materialise(compact(rows.filter("run_rows > 0")).sortWithinPartitions("digest"), "digest-level", RUN_FILES)
+    rows = materialise(log(docs, digest_bytes, memtable_rows), "digest-log")
+    level = materialise(compact(rows.filter("run_rows > 0")).sortWithinPartitions("digest"), "digest-level")
     hits = level.filter("group_size > 1")
     n_hits = hits.count()
     result = rows.filter("run_rows = 0").select("digest", "doc_id").join(level, "digest")

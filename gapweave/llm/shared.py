@@ -34,13 +34,13 @@ def tune(docs: DataFrame) -> DataFrame:
 _made: list[str] = []
 
 
-def materialise(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: later plans start from files, so a lost executor costs
-    no recomputation. options go to the writer."""
+    no recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _made.append(path)
-    df.write.options(**options or {}).parquet(path)
+    df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out

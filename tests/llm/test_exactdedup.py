@@ -79,7 +79,7 @@ def test_runs_are_sorted_and_levels_can_be_looked_up(spark):
         table_.put(key, i)
     assert table_.full() and table_.flush() == [(b"a", 7, 1), (b"b", 2, 2), (b"c", 9, 2)] and not table_.rows
     rows = exactdedup.log(documents(spark), limit=4)
-    level = shared.materialise(exactdedup.compact(rows.filter("run_rows > 0")).sortWithinPartitions("digest"), "level", exactdedup.RUN_FILES)
+    level = shared.materialise(exactdedup.compact(rows.filter("run_rows > 0")).sortWithinPartitions("digest"), "level")
     key = hashlib.sha256(norm("one").encode()).digest()
     assert [(r["keep_id"], r["group_size"]) for r in exactdedup.lookup(level, [key, b"none"]).collect()] == [(10, 3)]
     assert exactdedup.lookup(level, []).count() == 0
