@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType
 
 from gapweave.llm.counts import summed
 from gapweave.llm.kernels import blocks, byte_grams, gram_inside, gram_sums, trimmed, utf8
-from gapweave.llm.shared import materialise
+from gapweave.llm.shared import discard, materialise
 
 GRAM = 3
 BITS = 16
@@ -75,12 +75,13 @@ class TextModel:
 
 def sample(rows: DataFrame, most: int = SAMPLE_ROWS) -> dict[str, list[int]]:
     """For each declared language at most `most` ids, those of smallest hash; an id that comes often counts as often."""
-    named = rows.filter("id is not null and declared is not null and declared <> ''").select("id", "declared")
+    named = materialise(rows.filter("id is not null and declared is not null and declared <> ''").select("id", "declared"), "declared-languages")
     common = named.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES).collect()
     out = {}
     for row in common:
         own = named.filter(F.col("declared") == row["declared"]).select("id").orderBy(F.xxhash64("id"), "id").limit(most)
         out[row["declared"]] = sorted({r[0] for r in own.collect()})
+    discard(named)
     return out
 
 
