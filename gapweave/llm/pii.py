@@ -163,9 +163,9 @@ def zones(text: str) -> list[tuple[int, int]]:
         b = text.find("\n", m.end(), m.end() + MAX_SEGMENT)
         b = min(len(text), m.end() + MAX_SEGMENT) if b < 0 else b
         if out and a <= out[-1][1]:
-            out[-1][1:] = [b, m.end() + CONTEXT]
+            out[-1][1:] = [b, min(b, m.end() + CONTEXT)]
         else:
-            out.append([a, b, m.end() + CONTEXT])
+            out.append([a, b, min(b, m.end() + CONTEXT)])
     return [(a, b) for a, b, _ in out]
 
 

@@ -113,3 +113,23 @@ def test_redaction_and_awkward_rows(spark):
     assert sorted(r["redacted"] or "" for r in got if r["spans"] == "") == sorted(t or "" for _, t in ROWS)
     assert pii.personal_data(documents(spark).limit(0)).count() == 0
     assert pii.redact("abcdef", [(0, 0, 4), (2, 1, 5)]) == "[EMAIL]f"
+
+
+def test_every_line_has_its_zone():
+    text = "123-45-6789\n234-56-7890\n345-67-8901"
+    assert pii.zones(text) == [(0, 11), (12, 23), (24, 35)]
+    assert pii.redact(text, pii.find(text, pii.trained())[1]) == "[SSN]\n[SSN]\n[SSN]"
+    for text in ("Room 5\nSSN 123-45-6789", "id,ssn\n1,123-45-6789\n2,234-56-7890", "9\r\n\nmail ann[at]site[dot]org"):
+        inside = {i for a, b in pii.zones(text) for i in range(a, b)}
+        assert all(m.start() in inside for m in pii._TRIGGER.finditer(text)), text
+        assert not any("\n" in text[a:b] for a, b in pii.zones(text)), text
+    assert pii.redact("Room 5\nSSN 123-45-6789", pii.find("Room 5\nSSN 123-45-6789", pii.trained())[1]) == "Room 5\nSSN [SSN]"
+
+
+def test_zones_hold_every_trigger():
+    rng = random.Random(7)
+    for _ in range(5_000):
+        text = "".join(rng.choices(["1", "a", "@", "[at]", " ", "\n", "word " * 9, "12-3"], k=rng.randint(0, 12)))
+        zones = pii.zones(text)
+        assert all(any(a <= m.start() and m.end() <= b for a, b in zones) for m in pii._TRIGGER.finditer(text)), text
+        assert all(b < c for (_, b), (c, _) in zip(zones, zones[1:])), text
