@@ -18,17 +18,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, LongType
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructType
 
-from gapweave.llm.counts import summed
+from gapweave.llm.counts import SLICE, summed_slices
 from gapweave.llm.kernels import blocks, byte_grams, gram_inside, gram_sums, trimmed, utf8
 from gapweave.llm.shared import discard, materialise
 
 GRAM = 3
 BITS = 16
-#: Bound of the labelled sample for each language, and of languages.
+#: Bound of the labelled sample for each language; every declared language has a model.
 SAMPLE_ROWS = 2_000
-MAX_LANGUAGES = 64
+#: Languages whose n-gram table is dense at a time (32 MB).
+GROUP = 64
 #: Weight of the text: neighbouring n-grams overlap, so their evidence counts less than in full.
 TEMPER = 0.5
 #: Pseudo-counts by which a host leans on its domain, a domain on the corpus, and for unseen declarations and suffixes.
@@ -59,28 +60,65 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 class TextModel:
-    """Languages and, for each n-gram, its log-probability in each language over that of random bytes."""
-
-    def __init__(self, languages: list[str], ratio: np.ndarray):
-        self.languages, self.ratio = languages, ratio
+    """Languages and, for each n-gram, its log-probability in each language over that of random bytes: for each language
+    the n-grams seen in it, their values, and the value of all others."""
+
+    def __init__(self, languages: list[str], seen: list[np.ndarray], values: list[np.ndarray], unseen: list[float]):
+        self.languages, self.seen, self.values, self.unseen = languages, seen, values, unseen
+        self._made: tuple[int, np.ndarray] | None = None
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_made": None}
+
+    def ratio(self, first: int) -> np.ndarray:
+        """The dense table (n-grams, languages) of GROUP languages; the last one made stays."""
+        if self._made is None or self._made[0] != first:
+            self._made = None
+            out = np.tile(np.array(self.unseen[first : first + GROUP]), (1 << BITS, 1))
+            for j in range(out.shape[1]):
+                out[self.seen[first + j], j] = self.values[first + j]
+            self._made = (first, out)
+        return self._made[1]
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log-likelihood ratio of each document under each language, its number of n-grams and of letter bytes."""
         grams, good = _grams(data, offsets)
-        values = self.ratio[grams]
-        values[~good] = 0
+        scores = np.zeros((len(offsets) - 1, len(self.languages)))
+        for first in range(0, len(self.languages), GROUP):
+            values = self.ratio(first)[grams]
+            values[~good] = 0
+            scores[:, first : first + GROUP] = gram_sums(values, offsets, GRAM)
         letters = np.concatenate([[0], np.cumsum(_LETTER[data])])
-        return gram_sums(values, offsets, GRAM), gram_sums(good, offsets, GRAM).astype(np.int64), letters[offsets[1:]] - letters[offsets[:-1]]
+        return scores, gram_sums(good, offsets, GRAM).astype(np.int64), letters[offsets[1:]] - letters[offsets[:-1]]
 
 
 def sample(rows: DataFrame, most: int = SAMPLE_ROWS) -> dict[str, list[int]]:
-    """For each declared language at most `most` ids, those of smallest hash; an id that comes often counts as often."""
+    """For each declared language at most `most` ids, those of smallest hash; an id that comes often counts as often.
+
+    All languages are read at once: rows under a hash that some 2 * most rows of their language lie under, and for a
+    language that has too few of them (ids may repeat) again under a higher one.
+    """
     named = materialise(rows.filter("id is not null and declared is not null and declared <> ''").select("id", "declared"), "declared-languages")
-    common = named.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MAX_LANGUAGES).collect()
-    out = {}
-    for row in common:
-        own = named.filter(F.col("declared") == row["declared"]).select("id").orderBy(F.xxhash64("id"), "id").limit(most)
-        out[row["declared"]] = sorted({r[0] for r in own.collect()})
+    count = {r["declared"]: r["count"] for r in named.groupBy("declared").count().collect()}
+    languages = sorted(count)
+    part = {k: min(1.0, 2 * most / count[name]) for k, name in enumerate(languages)}
+    out: dict[str, list[int]] = {}
+    while part:
+        limits = [(k, languages[k], min((1 << 63) - 1, int(f * 2.0**64) - (1 << 63))) for k, f in part.items()]
+        limits = F.broadcast(rows.sparkSession.createDataFrame(limits, "k int, declared string, top long"))
+        own = named.join(limits, "declared").select("k", "id", F.xxhash64("id").alias("hash"), "top").filter("hash <= top")
+        found = own.groupBy("k", "id", "hash").count().toArrow()
+        kind, ids, keys, n = (found.column(c).to_numpy() for c in ("k", "id", "hash", "count"))
+        order = np.lexsort((ids, keys, kind))
+        kind, ids, n = kind[order], ids[order], n[order]
+        for k, f in list(part.items()):
+            a, b = np.searchsorted(kind, [k, k + 1])
+            before = np.cumsum(n[a:b]) - n[a:b]
+            if f < 1 and n[a:b].sum() < most:
+                part[k] = min(1.0, 4 * f)
+            else:
+                out[languages[k]] = sorted(ids[a:b][before < most].tolist())
+                del part[k]
     discard(named)
     return out
 
@@ -89,11 +127,11 @@ def fit(rows: DataFrame, ids: dict[str, list[int]]) -> TextModel:
     """Count the n-grams of the sampled rows, whole texts, in one pass without a shuffle of texts."""
     languages, size = sorted(ids), 1 << BITS
     if not languages:
-        return TextModel([], np.zeros((size, 0)))
+        return TextModel([], [], [], [])
     pairs = sorted((i, k) for k, name in enumerate(languages) for i in ids[name])
     known = rows.sparkSession.sparkContext.broadcast(np.array(pairs, np.int64).reshape(-1, 2))
 
-    def add(batch: pa.RecordBatch, counts: np.ndarray) -> None:
+    def keys(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         pairs = known.value
         row_ids = batch.column(0).fill_null(-1).to_numpy()
         at = np.minimum(np.searchsorted(pairs[:, 0], row_ids), len(pairs) - 1)
@@ -106,16 +144,34 @@ def fit(rows: DataFrame, ids: dict[str, list[int]]) -> TextModel:
             part = offsets[a : b + 1] - offsets[a]
             grams, good = _grams(data[offsets[a] : offsets[b]], part)
             label = np.repeat(kind[a:b], np.diff(part))[: len(grams)]
-            counts += np.bincount((label * size + grams)[good], minlength=len(counts))
-
-    counts = summed(rows.select("id", "text"), size * len(languages), add).reshape(len(languages), size).T + 0.05
-    return TextModel(languages, np.log(counts / counts.sum(0)) + np.log(size))
+            yield (label * size + grams)[good]
+
+    seen: list[list[np.ndarray]] = [[] for _ in languages]
+    counts: list[list[np.ndarray]] = [[] for _ in languages]
+    for at, part in summed_slices(rows.select("id", "text"), size * len(languages), keys):
+        k, first = divmod(at * SLICE, size)
+        there = np.flatnonzero(part)
+        seen[k].append((there + first).astype(np.int32))
+        counts[k].append(part[there])
+    grams, values, unseen = [], [], []
+    for own, n in zip(seen, counts):
+        own, n = np.concatenate([np.zeros(0, np.int32), *own]), np.concatenate([np.zeros(0, np.int64), *n])
+        dense = np.full(size, 0.05)
+        dense[own] += n
+        total = dense.sum()
+        grams.append(own)
+        values.append(np.log(dense[own] / total) + np.log(size))
+        unseen.append(float(np.log(0.05 / total) + np.log(size)))
+    return TextModel(languages, grams, values, unseen)
+
+
+_SHARE = StructType().add("l", IntegerType()).add("s", DoubleType())
 
 
 def _textual(rows: DataFrame, model: TextModel) -> DataFrame:
-    """rows without texts, with the text's scores and its own posterior."""
+    """rows without texts, with the text's scores and its own posterior, of that the languages l with a share s above 0."""
     names = [c for c in rows.columns if c != "text"]
-    schema = rows.select(*names).schema.add("scores", ArrayType(DoubleType())).add("soft", ArrayType(DoubleType())).add("grams", LongType()).add("letters", LongType())
+    schema = rows.select(*names).schema.add("scores", ArrayType(DoubleType())).add("soft", ArrayType(_SHARE)).add("grams", LongType()).add("letters", LongType())
     shipped = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,19 +183,20 @@ def _textual(rows: DataFrame, model: TextModel) -> DataFrame:
                 scores, grams, letters = model.scores(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 soft = np.exp(TEMPER * (scores - scores.max(1, keepdims=True))) if k else scores
                 soft /= soft.sum(1, keepdims=True) if k else 1
-                bounds = pa.array(np.arange(b - a + 1) * k, pa.int32())
-                lists = [pa.ListArray.from_arrays(bounds, pa.array(x.ravel())) for x in (np.round(scores, 6), np.round(soft, 6))]
+                soft = np.round(soft, 6)
+                of, kind = np.nonzero(soft)
+                pairs = pa.StructArray.from_arrays([pa.array(kind, pa.int32()), pa.array(soft[of, kind], pa.float64())], ["l", "s"])
+                bounds = pa.array(np.arange(b - a + 1) * k, pa.int32()), pa.array(np.searchsorted(of, np.arange(b - a + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(bounds[0], pa.array(np.round(scores, 6).ravel())), pa.ListArray.from_arrays(bounds[1], pairs)]
                 yield pa.record_batch([c.slice(a, b - a) for c in batch.columns[: len(names)]] + [*lists, pa.array(grams), pa.array(letters)], schema.names)
 
     return rows.select(*names, "text").mapInArrow(trimmed(run), schema)
 
 
-def _sums(k: int, column: str = "soft") -> list:
-    return [F.sum(F.col(column)[i]).alias(f"s{i}") for i in range(k)]
-
-
-def _vector(k: int):
-    return F.array(*(F.col(f"s{i}") for i in range(k)))
+def _sums(rows: DataFrame, *by: str, name: str) -> DataFrame:
+    """For each value of `by` the shares of each language added up, those above 0, as `name`."""
+    sums = rows.select(*by, F.explode("soft").alias("x")).select(*by, "x.l", "x.s").groupBy(*by, "l").agg(F.sum("s").alias("s"))
+    return sums.groupBy(*by).agg(F.collect_list(F.struct("l", "s")).alias(name))
 
 
 def identify(rows: DataFrame, model: TextModel) -> DataFrame:
@@ -157,38 +214,42 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     if not k:
         return found.select("id", "declared", "host", F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(0.0).alias("fit"), F.lit(True).alias("rejected"))
     some = found.filter("grams > 0")
-    total = some.agg(*_sums(k)).first()
-    corpus = np.array([total[i] or 0.0 for i in range(k)]) + OTHER_WEIGHT
+    corpus = np.zeros(k) + OTHER_WEIGHT
+    for row in some.select(F.explode("soft").alias("x")).groupBy("x.l").agg(F.sum("x.s").alias("s")).collect():
+        corpus[row["l"]] += row["s"]
     share = corpus / corpus.sum()
-
-    def given(name: str) -> DataFrame:
-        """log P(value | language), up to a factor that is the same for all languages, for each value of a column."""
-        sums = some.filter(F.col(name).isNotNull()).groupBy(name).agg(*_sums(k))
-        return sums.select(name, F.array(*(F.log((F.col(f"s{i}") + OTHER_WEIGHT * float(share[i])) / float(corpus[i])) for i in range(k))).alias(f"{name}_given"))
-
-    domains = some.filter("domain is not null").groupBy("domain").agg(*_sums(k))
-    n = sum((F.col(f"s{i}") for i in range(1, k)), F.col("s0"))
-    domains = domains.select("domain", F.array(*((F.col(f"s{i}") + DOMAIN_WEIGHT * float(share[i])) / (n + DOMAIN_WEIGHT) for i in range(k))).alias("above"))
-    hosts = some.filter("host is not null").groupBy("host", "domain").agg(*_sums(k)).join(domains, "domain", "left")
-    flat = F.array(*(F.lit(float(x)) for x in share))
-    hosts = hosts.withColumn("above", F.coalesce("above", flat))
-    hosts = hosts.select("host", F.coalesce("domain", F.lit("")).alias("of"), F.array(*(F.log((F.col(f"s{i}") + HOST_WEIGHT * F.col("above")[i]) / (n + HOST_WEIGHT)) for i in range(k))).alias("prior"))
-    joined = found.withColumn("of", F.coalesce("domain", F.lit(""))).join(hosts, ["host", "of"], "left").join(given("declared"), "declared", "left").join(given("suffix"), "suffix", "left")
-    shipped = [float(np.log(x)) for x in share]
-    names, languages = ["id", "declared", "host", "scores", "grams", "letters", "prior", "declared_given", "suffix_given"], model.languages
+    domains = _sums(some.filter("domain is not null"), "domain", name="above")
+    hosts = _sums(some.filter("host is not null"), "host", "domain", name="own").join(domains, "domain", "left")
+    hosts = hosts.select("host", F.coalesce("domain", F.lit("")).alias("of"), "own", "above")
+    joined = found.withColumn("of", F.coalesce("domain", F.lit(""))).join(hosts, ["host", "of"], "left")
+    for name in ("declared", "suffix"):
+        joined = joined.join(_sums(some.filter(F.col(name).isNotNull()), name, name=f"{name}_sums"), name, "left")
+    names, languages = ["id", "declared", "host", "scores", "grams", "letters", "own", "above", "declared_sums", "suffix_sums"], model.languages
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def matrix(column: pa.Array, missing: list[float]) -> np.ndarray:
-            out = np.tile(np.array(missing), (len(column), 1))
-            there = column.is_valid().to_numpy(zero_copy_only=False)
-            out[there] = column.drop_null().flatten().to_numpy().reshape(-1, k)
-            return out
+        def sums(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            """The sums of each row, and which rows have some."""
+            out, there = np.zeros((len(column), k)), column.is_valid().to_numpy(zero_copy_only=False)
+            column = column.drop_null()
+            pairs = column.flatten()
+            of = np.repeat(np.flatnonzero(there), column.value_lengths().to_numpy())
+            out[of, pairs.field("l").to_numpy()] = pairs.field("s").to_numpy()
+            return out, there[:, None]
+
+        def given(column: pa.Array) -> np.ndarray:
+            """log P(value | language), up to a factor that is the same for all languages."""
+            own, there = sums(column)
+            return np.where(there, np.log((own + OTHER_WEIGHT * share) / corpus), 0)
+
+        def prior(host: pa.Array, domain: pa.Array) -> np.ndarray:
+            (own, there), (above, has_domain) = sums(host), sums(domain)
+            above = np.where(has_domain, (above + DOMAIN_WEIGHT * share) / (above.sum(1, keepdims=True) + DOMAIN_WEIGHT), share)
+            return np.log(np.where(there, (own + HOST_WEIGHT * above) / (own.sum(1, keepdims=True) + HOST_WEIGHT), share))
 
-        zero = [0.0] * k
         labels = np.array(languages, object)
         for batch in batches:
-            scores, grams = matrix(batch.column(3), zero), batch.column(4).to_numpy()
-            logs = TEMPER * scores + matrix(batch.column(6), shipped) + matrix(batch.column(7), zero) + matrix(batch.column(8), zero)
+            scores, grams = batch.column(3).flatten().to_numpy().reshape(-1, k), batch.column(4).to_numpy()
+            logs = TEMPER * scores + prior(batch.column(6), batch.column(7)) + given(batch.column(8)) + given(batch.column(9))
             odds = np.exp(logs - logs.max(1, keepdims=True))
             odds /= odds.sum(1, keepdims=True)
             best = odds.argmax(1)
@@ -204,7 +265,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
 
 def of_documents(docs: DataFrame) -> DataFrame:
     """documents as evidence: lang is what was declared, source stands for the host."""
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text", F.lower(F.split("lang", "-")[0]).alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"))
+    return docs.select(F.col("doc_id").cast("long").alias("id"), "text", F.lower(F.split("lang", "[-_]")[0]).alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"))
 
 
 def of_pages(pages: DataFrame) -> DataFrame:

@@ -89,3 +89,34 @@ def test_awkward_rows(spark):
 def test_sample_is_bounded(spark, sf_dir):
     ids = langid.sample(evidence(spark, sf_dir), 7)
     assert set(ids) == {"de", "en", "es", "fr"} and all(len(x) == 7 for x in ids.values())
+
+
+def test_every_declared_language_has_a_model(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for k in range(70):
+        letters = rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7, replace=False)
+        words = ["".join(rng.choice(letters, rng.integers(3, 7))) for _ in range(40)]
+        for _ in range(3 if k < 60 else 2):
+            rows.append((len(rows), " ".join(rng.choice(words, 150)), f"l{chr(97 + k // 26)}{chr(97 + k % 26)}", "s"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    evidence = langid.of_documents(docs)
+    ids = langid.sample(evidence)
+    assert len(ids) == 70 and sorted(i for x in ids.values() for i in x) == [r[0] for r in rows]
+    got = {r["id"]: r for r in langid.identify(evidence, langid.fit(evidence, ids)).collect()}
+    assert all(got[i]["lang"] == lang and not got[i]["rejected"] for i, _, lang, _ in rows)
+
+
+def test_region_after_an_underscore_is_no_language(spark):
+    docs = spark.createDataFrame([(1, "x", "en_US", "s"), (2, "x", "EN-gb", "s"), (3, "x", "en", "s")], "doc_id long, text string, lang string, source string")
+    assert {r["declared"] for r in langid.of_documents(docs).collect()} == {"en"}
+
+
+def test_sample_is_of_smallest_hash_with_repeats(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(i), "ab"[int(i) % 2]) for i in rng.integers(0, 400, 3_000)] + [(999, "a")] * 5_000 + [(7, "c")] * 3
+    frame = spark.createDataFrame(rows, "id long, declared string")
+    hashed = frame.select("id", "declared", F.xxhash64("id").alias("h")).collect()
+    for most in (1, 7, 50, 100_000):
+        want = {d: sorted({r["id"] for r in sorted((r for r in hashed if r["declared"] == d), key=lambda r: (r["h"], r["id"]))[:most]}) for d in "abc"}
+        assert langid.sample(frame, most) == want
