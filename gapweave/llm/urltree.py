@@ -20,7 +20,7 @@ from gapweave.llm.shared import materialise
 
 #: (verdict, rule): host and its subdomains, from the slash on the start of the path.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Levels of the tree; what lies deeper is one '**'.
+#: Levels of the tree, or more where a rule is deeper; what lies deeper is one '**'.
 DEPTH = 8
 #: A node with more children generalises those that have less than this share of its rows.
 MAX_CHILDREN, MIN_SHARE = 20, 0.05
@@ -94,13 +94,16 @@ def templates(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
     return shapes.select("host", "shape", "template").join(leaves, ["host", "template"])
 
 
-def judge(pages: DataFrame, rules=RULES, limit: float = LIMIT, depth: int = DEPTH) -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, limit: float = LIMIT, depth: int | None = None) -> DataFrame:
     """(page_id, host, path, rule, verdict, template, purity) of every row; rows that a rule fits are the labels.
 
     Columns read: page_id, url; others are ignored. A null or malformed url has empty host and path,
     fits no rule and is judged like any other host. Rows that repeat a page_id are judged one by
     one. With no rule that fits anywhere, all rows are allowed. An empty table gives an empty table.
+    Labels depend on no more segments than the deepest rule has, so the tree has as many levels, and DEPTH at least,
+    unless depth is given.
     """
+    depth = depth or max([DEPTH, *(sum(x != "" for x in rule.split("/")[1:]) for _, rule in rules)])
     host, path = host_and_path(F.col("url"))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host.alias("host"), path.alias("path"))
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn("shape", shape(F.col("path"), depth))

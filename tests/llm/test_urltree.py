@@ -97,3 +97,12 @@ def test_templates_and_awkward_urls(spark):
     assert urltree.judge(pages.limit(0)).count() == 0
     assert {r["verdict"] for r in urltree.judge(pages, rules=()).collect()} == {"allow"}
     assert urltree.judge(pages.unionAll(pages)).count() == 2 * len(rows)
+
+
+def test_tree_is_as_deep_as_the_rules(spark):
+    stem = "deep.org/a/b/c/d/e/f/g/i/j/"
+    urls = [f"http://{stem}{kind}/{first}{n}" for kind in ("bad", "good") for first in (1, 2) for n in range(20)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = urltree.judge(pages, rules=(("block", stem + "bad/1"), ("allow", stem + "good/1"))).collect()
+    assert all((r["verdict"] == "block") == ("/bad/" in r["path"]) for r in got)
+    assert len({r["template"] for r in got}) == 2
