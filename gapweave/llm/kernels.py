@@ -14,13 +14,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
-#: Odd multipliers of the polynomial hashes, modulo 2**64: two lanes for bytes, two for words.
-BYTE_BASE = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+#: Odd multipliers of the polynomial hash of runs of words, modulo 2**64.
 WORD_BASE = (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F)
+#: Seed of the hashes of spans. Hashes only find what may be equal; what depends on equality compares bytes.
+SEED = 0x9E3779B97F4A7C15
+#: Longest span, in bytes, that is hashed eight bytes at a time for all spans at once.
+SHORT = 48
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -88,18 +92,51 @@ def word_bounds(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, np.flatnonzero(last) + 1, np.searchsorted(starts, offsets)
 
 
-def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lane: int = 0) -> np.ndarray:
-    """64-bit hash of each span of bytes."""
+def _eights(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+
+
+_KEEP = np.array([(1 << (8 * n)) - 1 for n in range(8)] + [(1 << 64) - 1], U64)
+
+
+def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of bytes: mixed eight bytes at a time, or XXH3 for a long one."""
+    size = ends - starts
+    out = mix(size.astype(U64) ^ U64(SEED))
     if not len(starts):
-        return np.zeros(0, U64)
-    up, down = powers(BYTE_BASE[lane], len(data) + 1)
-    total = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U64))
+        return out
+    eights, live = _eights(data), np.flatnonzero((size > 0) & (size <= SHORT))
+    at = 0
+    while len(live):
+        part = eights[starts[live] + at] & _KEEP[np.minimum(size[live] - at, 8)]
+        out[live] = mix((out[live] ^ part) * U64(WORD_BASE[0]))
+        at += 8
+        live = live[size[live] > at]
+    for i in np.flatnonzero(size > SHORT).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]], SEED)
+    return out
+
+
+def same_bytes(a: np.ndarray, a_starts: np.ndarray, a_ends: np.ndarray, b: np.ndarray, b_starts: np.ndarray, b_ends: np.ndarray) -> np.ndarray:
+    """Whether span i of a has the bytes of span i of b."""
+    size = a_ends - a_starts
+    out = size == b_ends - b_starts
+    first = _eights(a)
+    second = first if b is a else _eights(b)
+    live, at = np.flatnonzero(out & (size > 0) & (a_starts != b_starts if b is a else True)), 0
+    while len(live):
+        differ = (first[a_starts[live] + at] ^ second[b_starts[live] + at]) & _KEEP[np.minimum(size[live] - at, 8)]
+        out[live[differ != 0]] = False
+        at += 8
+        live = live[(differ == 0) & (size[live] > at)]
+    return out
 
 
 def gram_hash(words: np.ndarray, k: int, lane: int = 0) -> np.ndarray:
-    """Hash of each run of k consecutive words; runs that cross documents must be left out by the caller."""
+    """Hash of each run of k consecutive words from theirs; runs that cross documents must be left out by the caller."""
     n = len(words) - k + 1
     if n <= 0:
         return np.zeros(0, U64)

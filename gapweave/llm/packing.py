@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from gapweave.llm.kernels import U64, blocks, span_hash, trimmed, utf8, word_bounds
+from gapweave.llm.kernels import U64, blocks, same_bytes, span_hash, trimmed, utf8, word_bounds
 from gapweave.llm.shared import materialise
 
 WIDTH = 4096
@@ -36,19 +36,22 @@ MARKS = b".,;:!?*#$%&|)"
 _MARK, _ALNUM = np.zeros(256, bool), np.zeros(256, bool)
 _MARK[list(MARKS)] = True
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
-#: Rows of one length that are numbered together; a length with more rows has more buckets.
+#: Rows of one length that are numbered together, and the most buckets of a length: beyond RANK_ROWS * MAX_BUCKETS rows
+#: the buckets grow, so that neither a bucket nor the table of a length's buckets is too much for one task.
 RANK_ROWS = 250
+MAX_BUCKETS = 50_000
 
 
 class WordIds:
-    """Ids of words, kept under 128-bit hashes in sorted arrays.
+    """Ids of words, found by 64-bit hashes in sorted arrays and kept beside the words' bytes, which are compared.
 
     The tokenizer drops white space and none of its rules looks across it, nor across the bound
     between an ASCII letter or digit and one of MARKS; so the parts between can be encoded one by
     one. It lower-cases, so ASCII letters are lower-cased here already, but for those that a
     combining character might follow. A block's different words are looked up together; unknown ones are encoded many in a
     call, parted by a word of one control character, and merged into the arrays of late words, these
-    now and then into the large ones. Beyond CACHE words all start anew.
+    now and then into the large ones. Beyond CACHE words all start anew. A text with one of the tokenizer's
+    special strings, which it takes for single tokens, is given to it whole.
     """
 
     SEPARATOR = "\x01"
@@ -57,19 +60,22 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.whole = Tokenizer.from_file(path)
+        self.special = [token.content.encode() for token in self.whole.get_added_tokens_decoder().values()]
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = True  # lower-casing must not make special strings of others
         mark = self.tokenizer.encode(self.SEPARATOR, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
         self._clear()
 
     def _clear(self) -> None:
         self.levels = [self._empty(), self._empty()]  # many words, and those learned lately
-        self.ids = np.zeros(0, np.uint32)
+        self.ids, self.words = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
 
     @staticmethod
     def _empty() -> list[np.ndarray]:
-        return [np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        """Hash, start and number of ids, start and end of bytes."""
+        return [np.zeros(0, U64), *(np.zeros(0, np.int32) for _ in range(4))]
 
     @property
     def n_words(self) -> int:
@@ -88,12 +94,14 @@ class WordIds:
         ends = np.flatnonzero(ids == self.mark)
         return ids[ids != self.mark], np.diff(ends, prepend=-1) - 1
 
-    def _learn(self, low: np.ndarray, high: np.ndarray, words: list[bytes]) -> None:
-        """Add words that are not there, by rising low."""
+    def _learn(self, key: np.ndarray, words: list[bytes]) -> None:
+        """Add words whose hashes are not there, by rising hash."""
         ids, size = self._encode([w.decode("utf-8", "replace") for w in words])
         start = (len(self.ids) + np.cumsum(size) - size).astype(np.int32)
-        self.ids = np.concatenate([self.ids, ids])
-        self.levels[1] = self._merged(self.levels[1], [low, high, start, size.astype(np.int32)])
+        stop = (len(self.words) + np.cumsum([len(w) for w in words])).astype(np.int32)
+        begin = np.append(np.int32(len(self.words)), stop[:-1])
+        self.ids, self.words = np.concatenate([self.ids, ids]), np.concatenate([self.words, np.frombuffer(b"".join(words), np.uint8)])
+        self.levels[1] = self._merged(self.levels[1], [key, start, size.astype(np.int32), begin, stop])
         if len(self.levels[1][0]) > max(RECENT, len(self.levels[0][0]) // 8):
             self.levels = [self._merged(*self.levels), self._empty()]
 
@@ -102,19 +110,30 @@ class WordIds:
         at = np.searchsorted(a[0], b[0])
         return [np.insert(x, at, y) for x, y in zip(a, b)]
 
-    def _find(self, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and size of the ids of each word; size -1 if it is unknown."""
-        start, size = np.zeros(len(low), np.int64), np.full(len(low), -1, np.int64)
-        for lows, highs, starts, sizes in self.levels:
-            if len(lows):
-                at = np.searchsorted(lows, low)
-                at[at == len(lows)] = 0
-                own = (lows[at] == low) & (highs[at] == high)
-                start[own], size[own] = starts[at[own]], sizes[at[own]]
-        return start, size
+    def _find(self, key: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Start and number of ids, start and end of bytes under each hash; number -1 if there is none."""
+        out = [np.zeros(len(key), np.int64) for _ in range(4)]
+        out[1][:] = -1
+        for keys, *columns in self.levels:
+            if len(keys):
+                at = np.searchsorted(keys, key)
+                at[at == len(keys)] = 0
+                own = keys[at] == key
+                for to, column in zip(out, columns):
+                    to[own] = column[at[own]]
+        return tuple(out)
 
     def encode_block(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of each document of a block."""
+        raw = data.tobytes()
+        out = self._encode_words(data, offsets)
+        if any(s in raw for s in self.special):
+            for i, (a, b) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
+                if any(s in raw[a:b] for s in self.special):
+                    out[i] = np.array(self.whole.encode(raw[a:b].decode(), add_special_tokens=False).ids, np.uint32)
+        return out
+
+    def _encode_words(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         data = data.copy()
         plain = np.append(data[1:], 0) < 128
         data[(data >= 65) & (data <= 90) & plain] |= 32
@@ -128,25 +147,25 @@ class WordIds:
             of = np.searchsorted(starts, offsets)
         if not len(starts):
             return [np.zeros(0, np.uint32)] * (len(offsets) - 1)
-        low, which, place = np.unique(span_hash(data, starts, ends), return_index=True, return_inverse=True)
-        high = span_hash(data, starts, ends, 1)
-        if (high != high[which][place]).any():  # two words of one block share 64 bits: one by one
-            raw = data.tobytes()
-            words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-            ids, size = self._encode([w.decode("utf-8", "replace") for w in words])
-        else:
-            start, size = self._find(low, high[which])
+        key, which, place = np.unique(span_hash(data, starts, ends), return_index=True, return_inverse=True)
+        raw, own = data.tobytes(), (starts[which], ends[which])
+        exact = same_bytes(data, starts, ends, data, own[0][place], own[1][place]).all()
+        if exact:
+            start, size, begin, stop = self._find(key)
             new = np.flatnonzero(size < 0)
             if len(new):
                 if self.n_words + len(new) > CACHE:
                     self._clear()
-                    new = np.arange(len(low))
-                raw, at = data.tobytes(), which[new]
-                self._learn(low[new], high[at], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-                start, size = self._find(low, high[which])
+                    new = np.arange(len(key))
+                self._learn(key[new], [raw[a:b] for a, b in zip(own[0][new].tolist(), own[1][new].tolist())])
+                start, size, begin, stop = self._find(key)
+            exact = same_bytes(data, *own, self.words, begin, stop).all()
+        if exact:
             size = size[place]
             put = np.cumsum(size) - size
             ids = self.ids[np.repeat(start[place] - put, size) + np.arange(int(size.sum()))]
+        else:  # different words share a hash: all words of the block one by one
+            ids, size = self._encode([raw[a:b].decode("utf-8", "replace") for a, b in zip(starts.tolist(), ends.tolist())])
         bounds = np.concatenate([[0], np.cumsum(size)])[of]
         return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
@@ -253,7 +272,7 @@ def places(plan: list[tuple[list[int], int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 4)
 
 
-def pack(cut: DataFrame, width: int = WIDTH, rank_rows: int = RANK_ROWS) -> DataFrame:
+def pack(cut: DataFrame, width: int = WIDTH, rank_rows: int = RANK_ROWS, max_buckets: int = MAX_BUCKETS) -> DataFrame:
     """cut (doc_id, piece, length, ...) with sequence_id and offset, gapless from 0 in each sequence.
 
     Every row gets a place, rows that repeat a doc_id and rows with a null doc_id too; rows
@@ -264,7 +283,7 @@ def pack(cut: DataFrame, width: int = WIDTH, rank_rows: int = RANK_ROWS) -> Data
     for row in cut.groupBy("length").count().toLocalIterator():  # at most `width` rows
         counts[row["length"]] = row["count"]
     runs = places(best_two_fit(counts, width))
-    buckets = F.get(F.lit(np.maximum(1, -(-counts // rank_rows)).tolist()), F.col("length").cast("int"))
+    buckets = F.get(F.lit(np.clip(-(-counts // rank_rows), 1, max_buckets).tolist()), F.col("length").cast("int"))
     shipped = cut.sparkSession.sparkContext.broadcast(runs)
     names = cut.columns
     rows = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), buckets).cast("long"))
@@ -289,6 +308,11 @@ def pack(cut: DataFrame, width: int = WIDTH, rank_rows: int = RANK_ROWS) -> Data
 
 
 def packed_pieces(docs: DataFrame, tokenizer_path: str, width: int = WIDTH) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all documents."""
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of all documents.
+
+    Columns read: doc_id, text; others are ignored. A null, empty or blank text has the end id only, as one piece of
+    length 1; a text of more than width - 1 ids is cut. Every row is packed, rows that repeat a doc_id and rows with
+    a null doc_id too; of pieces that tie, any may take either place. An empty table gives an empty table.
+    """
     cut = pieces(docs, tokenizer_path, width, with_ids=False).drop("ids")
     return pack(materialise(cut, "pieces"), width)

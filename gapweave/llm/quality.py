@@ -7,6 +7,7 @@ over its n-grams of log(target / raw); every document below the threshold goes.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapweave.llm.counts import summed
-from gapweave.llm.kernels import blocks, byte_grams, gram_hash, gram_inside, gram_sums, inside, span_hash, trimmed, utf8, word_bounds
+from gapweave.llm.kernels import blocks, byte_grams, gram_hash, gram_inside, gram_sums, inside, same_bytes, span_hash, trimmed, utf8, word_bounds
 
 GRAM = 4
 BITS = 18
@@ -31,8 +32,18 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 _NEWLINE = 10
 
 
+def _repeats(text: bytes) -> tuple[int, int]:
+    """n_repeat_words and n_dup_lines of one text by its words and lines themselves."""
+    words, lines = text.split(), [line for line in text.split(b"\n") if line.split()]
+    windows = list(zip(*(words[i:] for i in range(5))))
+    count = Counter(windows)
+    gone = {i + j for i, w in enumerate(windows) if count[w] > 1 for j in range(5)}
+    return len(gone), len(lines) - len(set(lines))
+
+
 def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each document."""
+    """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of each document. Equal hashes are compared byte
+    by byte; a document in which they differ is counted by its words and lines themselves."""
     n = len(offsets) - 1
 
     def per_doc(flags: np.ndarray) -> np.ndarray:
@@ -51,17 +62,19 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     good = np.flatnonzero(inside(of, 5))
     doc_of = np.repeat(np.arange(n), np.diff(of))
     covered = np.zeros(len(hashes) + 1, np.int32)
+    apart: set[int] = set()  # documents in which different words or lines share a hash
     if len(good):
         keys = gram_hash(hashes, 5)[good]
         order = np.lexsort((keys, doc_of[good]))
-        k, d = keys[order], doc_of[good][order]
-        same = (k[1:] == k[:-1]) & (d[1:] == d[:-1])
+        k, at = keys[order], good[order]
+        same = np.flatnonzero((k[1:] == k[:-1]) & (doc_of[at[1:]] == doc_of[at[:-1]]))
+        for i in range(5):
+            x, y = at[same + 1] + i, at[same] + i
+            apart |= set(doc_of[x[~same_bytes(data, starts[x], ends[x], data, starts[y], ends[y])]].tolist())
         twice = np.zeros(len(k), bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        at = good[order][twice]
-        np.add.at(covered, at, 1)
-        np.subtract.at(covered, at + 5, 1)
+        twice[same] = twice[same + 1] = True
+        np.add.at(covered, at[twice], 1)
+        np.subtract.at(covered, at[twice] + 5, 1)
     total = np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
     out["n_repeat_words"] = total[of[1:]] - total[of[:-1]]
 
@@ -74,10 +87,14 @@ def base_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     heads, tails = heads[worded], tails[worded]
     if len(heads):
         doc = np.searchsorted(offsets, heads, "right") - 1
-        low, high = span_hash(data, heads, tails), span_hash(data, heads, tails, 1)
-        order = np.lexsort((high, low, doc))
-        again = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1]) & (doc[order][1:] == doc[order][:-1])
-        out["n_dup_lines"] = np.bincount(doc[order][1:][again], minlength=n)
+        keys = span_hash(data, heads, tails)
+        order = np.lexsort((keys, doc))
+        again = np.flatnonzero((keys[order][1:] == keys[order][:-1]) & (doc[order][1:] == doc[order][:-1]))
+        x, y = order[again + 1], order[again]
+        apart |= set(doc[x[~same_bytes(data, heads[x], tails[x], data, heads[y], tails[y])]].tolist())
+        out["n_dup_lines"] = np.bincount(doc[x], minlength=n)
+    for d in apart:
+        out["n_repeat_words"][d], out["n_dup_lines"][d] = _repeats(data[offsets[d] : offsets[d + 1]].tobytes())
     return {k: v.astype(np.int64) for k, v in out.items()}
 
 

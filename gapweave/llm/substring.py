@@ -2,27 +2,27 @@
 
 A passage is a window of `window` words. Cut every document into non-overlapping reference
 blocks of window/2 words: whichever words a window covers, it holds one such block whole.
-So if a window occurs twice, some run of window/2 words occurs in both places at the same
-distance from the window's start, and in one of them it is a reference block. The steps:
-
-1. index and probe: each task reduces the hashes of its rolling block-sized runs to sorted
-   sets, dealt by hash band and packed, each with a mark if it is a reference block and if
-   it was seen twice. A band's task finds the anchors: hashes indexed as a block and seen
-   at two or more places.
-2. filter: anchors set bits of a filter of fixed size. It never drops a hit; when it is
-   full it only lets more windows through to step 3, which is exact.
-3. extend: windows that hold an anchor are hashed whole (128 bits); a window that has an
-   equal window at a smaller (doc_id, start) is a repeat. A task keeps the first of equal
-   windows and sends one row for each, so a passage that a third of all documents share
-   travels once a task.
-4. repeats of a document join to maximal spans, and the covered words go.
-
-Texts move once, to meet the spans of their documents.
+So if a window occurs twice, a run of window/2 words in one place is a reference block in the
+other, or a block of both. The steps:
+
+1. index: tasks reduce the hashes of their reference blocks to sorted sets, dealt by hash band;
+   a band's task adds them to a filter of all blocks and to one of blocks seen twice.
+2. probe: every rolling run of window/2 words is looked up, one that is no block of its own
+   document in the first filter, one that is in the second. Windows that hold a hit are candidates. The filters
+   never lose a hit; when they are full more windows are candidates, and the steps behind are exact.
+3. first place: a task keeps the first of candidate windows whose words are equal, compared
+   word by word, and sends (hash, place) for it; a band's task names the first place of each hash.
+4. extend: windows of a document whose first places follow each other join to maximal repeats,
+   and these are compared with the words at their first place. Windows in which a word differs, as their hash
+   collides, are grouped by their words themselves.
+5. the words that verified repeats cover go. Only documents with some travel for that.
+
+A place is (doc_id, row, word). Rows that repeat a doc_id are told apart by row, a digest of their text;
+rows that repeat both are one place, of which one row stays as the first.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,356 +30,512 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapweave.llm.kernels import U64, blocks, gram_hash, inside, span_hash, trimmed, utf8, word_bounds
-from gapweave.llm.shared import materialise
+from gapweave.llm.filters import PAGE, PAGE_SCHEMA, Bloom, build, joined, size_for
+from gapweave.llm.kernels import U64, blocks, gram_hash, inside, same_bytes, span_hash, trimmed, utf8, word_bounds
+from gapweave.llm.packets import by_band, grouped, pack, unpack
+from gapweave.llm.shared import discard, materialise
 
 WINDOW = 20
-#: Largest size of the broadcast filter of anchors.
+#: Largest size of the broadcast filters of blocks, and of that of documents with repeats.
 FILTER_BYTES = 32 << 20
-PAGE_BYTES = 1 << 12
-#: Hashes that one band's task holds at a time, and words that a task gathers before it packs them. For very large
-#: inputs both grow, the second to MAX_BATCH_WORDS, so that a packed set still has some SET_HASHES hashes.
-BAND_HASHES = 3_000_000
-BATCH_WORDS = 2_000_000
-MAX_BATCH_WORDS = 32_000_000
-SET_HASHES = 64
-HASH_BITS = 48
-
-
-def _gaps(values: np.ndarray) -> bytes:
-    """Sorted distinct values below 2**48 as 7-bit groups of their differences, lowest first."""
-    step = np.diff(values, prepend=U64(0)).astype(U64)
-    size = np.ones(len(step), np.int64)
-    for bits in range(7, 49, 7):
-        size += step >= U64(1 << bits)
-    end = np.cumsum(size)
-    out = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
-    at = end - size
-    for i in range(int(size.max()) if len(size) else 0):
-        own = size > i
-        more = (size[own] > i + 1).astype(np.uint8) << 7
-        out[at[own] + i] = ((step[own] >> U64(7 * i)) & U64(127)).astype(np.uint8) | more
-    return out.tobytes()
-
-
-def _ungaps(raw: bytes) -> np.ndarray:
-    data = np.frombuffer(raw, np.uint8)
-    if not len(data):
-        return np.zeros(0, U64)
-    last = data < 128
-    end = np.flatnonzero(last) + 1
-    start = np.concatenate([[0], end[:-1]]).astype(np.int64)
-    place = np.arange(len(data)) - np.repeat(start, end - start)
-    parts = (data & 127).astype(U64) << (place * 7).astype(U64)
-    return np.cumsum(np.add.reduceat(parts, start))
+#: Rows that one band's task holds at a time, and rows that a task gathers before it packs them. For very large
+#: inputs both grow, the second to MAX_BATCH, so that a packet still has some PACKET rows.
+BAND_ROWS = 400_000
+BATCH = 400_000
+MAX_BATCH = 8_000_000
+PACKET = 64
+#: Documents that lean on one source and are compared with one copy of it, and the most sources that have several copies.
+SALT_ROWS = 1_000
+MOST_SALTED = 100_000
+
+
+def sizes(rows: int, band_rows: int, batch: int) -> tuple[int, int]:
+    """Number of bands, and rows of a batch, for so many rows in all."""
+    bands = int(-(-rows // max(band_rows, PACKET * rows // MAX_BATCH))) + 1
+    return bands, max(batch, min(MAX_BATCH, PACKET * bands))
 
 
 class _Words:
     """Words of a block of documents and the hashes of their runs."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.data, self.offsets = data, offsets
         self.starts, self.ends, self.of = word_bounds(data, offsets)
         self.hashes = span_hash(data, self.starts, self.ends)
 
-    def anchors(self, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def runs(self, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Hash of each rolling run of `block` words in one document, where it starts, whether it is a reference block."""
         good = np.flatnonzero(inside(self.of, block))
         first = np.repeat(self.of[:-1], np.diff(self.of))
-        return (gram_hash(self.hashes, block)[good] >> U64(64 - HASH_BITS)), good, (good - first[good]) % block == 0
+        return gram_hash(self.hashes, block)[good], good, (good - first[good]) % block == 0
+
 
-    def second(self) -> np.ndarray:
-        return span_hash(self.data, self.starts, self.ends, 1)
+def _dealt(df: DataFrame, bands: int) -> DataFrame:
+    """df with band b in partition b, sorted by band."""
+    return df.repartitionById(bands, F.col("band")).sortWithinPartitions("band")
 
 
-def _set_of(hashes: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted distinct hashes; whether each was a reference block anywhere; whether it came twice or more."""
-    keyed = np.sort((hashes << U64(1)) | block.astype(U64))
-    plain = keyed >> U64(1)
-    new = np.ones(len(plain), bool)
-    new[1:] = plain[1:] != plain[:-1]
-    at = np.flatnonzero(new)
-    last = np.append(at[1:], len(plain)) - 1
-    return plain[at], (keyed[last] & U64(1)).astype(bool), last > at
+# ---- 1. index ----
 
 
-def probes(docs: DataFrame, block: int, bands: int, batch_words: int = BATCH_WORDS) -> DataFrame:
-    """(band, gaps, marks): packed sets of the hashes of rolling runs, by band of the hash's upper values."""
+def _blocks(docs: DataFrame, block: int, bands: int, batch_rows: int) -> DataFrame:
+    """(band, hashes, twice): packed sets of the hashes of reference blocks, by band of their upper bits; whether
+    each came twice or more."""
 
-    def packed(hashes: list[np.ndarray], marks: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        values, block_of, twice = _set_of(np.concatenate(hashes), np.concatenate(marks))
-        band = ((values >> U64(16)) * U64(bands)) >> U64(HASH_BITS - 16)
-        cut = np.searchsorted(band, np.arange(bands + 1, dtype=U64))
-        for a in range(0, bands, 4096):
-            own = [b for b in range(a, min(a + 4096, bands)) if cut[b] < cut[b + 1]]
-            if own:
-                raw = [_gaps(values[cut[b] : cut[b + 1]]) for b in own]
-                flags = [np.packbits(np.concatenate([block_of[cut[b] : cut[b + 1]], twice[cut[b] : cut[b + 1]]])).tobytes() for b in own]
-                yield pa.record_batch([pa.array(own, pa.int32()), pa.array(raw, pa.binary()), pa.array(flags, pa.binary())], ["band", "gaps", "marks"])
+    def packed(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        values, n = np.unique(np.concatenate(held), return_counts=True)
+        band = ((values >> U64(32)) * U64(bands)) >> U64(32)
+        rows = list(by_band(band.astype(np.int64), values, (n > 1).astype(np.int64)))
+        for a in range(0, len(rows), 1024):
+            own, raw = zip(*rows[a : a + 1024])
+            yield pa.record_batch([pa.array(own, pa.int32()), pa.array(raw, pa.binary())], ["band", "packet"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes: list[np.ndarray] = []
-        marks: list[np.ndarray] = []
-        held = 0
+        held: list[np.ndarray] = []
         for batch in batches:
             data, offsets = utf8(batch.column(0))
             for a, b in blocks(offsets):
-                h, _, ref = _Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]).anchors(block)
-                hashes.append(h)
-                marks.append(ref)
-                held += len(h)
-                if held >= batch_words:
-                    yield from packed(hashes, marks)
-                    hashes, marks, held = [], [], 0
-        if held:
-            yield from packed(hashes, marks)
-
-    return docs.select("text").mapInArrow(trimmed(run), "band int, gaps binary, marks binary")
-
-
-def _by_band(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
-    """Rows of each band, which come sorted by band."""
-    now, rows = None, []
-    for batch in batches:
-        columns = batch.columns
-        for i, band in enumerate(columns[0].to_pylist()):
-            if band != now:
-                if rows:
-                    yield now, rows
-                now, rows = band, []
-            rows.append(tuple(c[i] for c in columns[1:]))
-    if rows:
-        yield now, rows
-
-
-def _filter_bits(hashes: np.ndarray, n_pages: int, page_bytes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of the filter for each hash, both on the page that its upper bits choose: so a band, a range of
-    hashes, owns a few neighbouring pages."""
-    page = (((hashes >> U64(16)) * U64(n_pages)) >> U64(HASH_BITS - 16)).astype(np.int64) * (8 * page_bytes)
-    shift = U64(64 - (8 * page_bytes).bit_length() + 1)
-    return page + ((hashes * U64(0x9E3779B97F4A7C15)) >> shift).astype(np.int64), page + ((hashes * U64(0xD6E8FEB86659FD93)) >> shift).astype(np.int64)
-
-
-def anchors(found: DataFrame, bands: int, n_pages: int, page_bytes: int = PAGE_BYTES) -> np.ndarray:
-    """Filter of the hashes that are a reference block somewhere and occur at two places or more."""
+                hashes, _, own = _Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]).runs(block)
+                held.append(hashes[own])
+            if sum(map(len, held)) >= batch_rows:
+                yield from packed(held)
+                held = []
+        if sum(map(len, held)):
+            yield from packed(held)
+
+    return docs.select("text").mapInArrow(trimmed(run), "band int, packet binary")
+
+
+def index(docs: DataFrame, block: int, n_blocks: int, most: int = FILTER_BYTES, band_rows: int = BAND_ROWS, batch: int = BATCH) -> tuple[Bloom, Bloom]:
+    """Filter of all reference blocks, and that of those seen twice."""
+    every = size_for(n_blocks, most // 4 * 3 // PAGE * PAGE or most)
+    if not every:
+        return Bloom(1, full=True), Bloom(1, full=True)
+    every, twice = -(-every // PAGE) * PAGE, max(PAGE, every // 3 // PAGE * PAGE)
+    bands, batch = sizes(n_blocks, band_rows, batch)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _by_band(batches):
-            parts, ref, twice = [], [], []
-            for gaps, marks in rows:
-                values = _ungaps(gaps.as_buffer().to_pybytes())
-                flags = np.unpackbits(np.frombuffer(marks.as_buffer(), np.uint8), count=2 * len(values)).astype(bool)
-                parts.append(values)
-                ref.append(flags[: len(values)])
-                twice.append(flags[len(values) :])
-            # value, then whether it is a block, then whether it came twice in one set
-            keyed = np.sort((np.concatenate(parts) << U64(2)) | (np.concatenate(ref).astype(U64) << U64(1)) | np.concatenate(twice).astype(U64))
-            plain = keyed >> U64(2)
-            at = np.flatnonzero(np.concatenate([[True], plain[1:] != plain[:-1]]))
-            flags = np.bitwise_or.reduceat(keyed & U64(3), at)
-            many = np.diff(np.append(at, len(plain))) > 1
-            live = plain[at][((flags & U64(2)) > 0) & (many | ((flags & U64(1)) > 0))]
-            if not len(live):
-                continue
-            first, second = _filter_bits(live, n_pages, page_bytes)
-            low = int(first.min()) // (8 * page_bytes)
-            high = int(first.max()) // (8 * page_bytes) + 1
-            bits = np.zeros((high - low) * page_bytes, np.uint8)
-            for bit in (first, second):
-                bit = bit - low * 8 * page_bytes
-                np.bitwise_or.at(bits, bit >> 3, (1 << (bit & 7)).astype(np.uint8))
-            pages = bits.reshape(-1, page_bytes)
-            some = np.flatnonzero(pages.any(1))
-            yield pa.record_batch([pa.array(some + low, pa.int32()), pa.array([pages[i].tobytes() for i in some], pa.binary())], ["at", "bits"])
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for at, rows in _by_band(batches):
-            bits = np.zeros(page_bytes, np.uint8)
-            for (raw,) in rows:
-                bits |= np.frombuffer(raw.as_buffer(), np.uint8)
-            yield pa.record_batch([pa.array([at], pa.int32()), pa.array([bits.tobytes()], pa.binary())], ["at", "bits"])
-
-    sorted_ = found.repartition(bands, "band").sortWithinPartitions("band")
-    parts = sorted_.mapInArrow(trimmed(meet), "at int, bits binary").repartition(max(1, n_pages // 512), "at").sortWithinPartitions("at")
-    whole = np.zeros((n_pages, page_bytes), np.uint8)
-    for row in parts.mapInArrow(join, "at int, bits binary").toLocalIterator():
-        whole[row["at"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    return whole.ravel()
-
-
-_WINDOW_ROW = np.dtype([("low", "<u8"), ("high", "<u8"), ("doc", "<i8"), ("at", "<i4")])
-_PLACE_ROW = np.dtype([("doc", "<i8"), ("at", "<i4")])
-
-
-def candidates(docs: DataFrame, window: int, block: int, bands: int, shipped, batch_words: int = BATCH_WORDS, page_bytes: int = PAGE_BYTES) -> DataFrame:
-    """(band, kind, rows): kind 0, the first of equal candidate windows of a task, by band of their hash; kind 1,
-    windows that are repeats within the task, by band of their document. Packed as columns."""
+        for _, rows in grouped(batches):
+            parts = [unpack(raw.as_buffer().to_pybytes(), 2) for (raw,) in rows]
+            values = np.concatenate([p[0] for p in parts]).view(U64)
+            seen = np.concatenate([p[1] for p in parts])
+            order = np.argsort(values, kind="stable")
+            values, seen = values[order], seen[order]
+            at = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+            many = (np.diff(np.append(at, len(values))) > 1) | (np.maximum.reduceat(seen, at) > 0)
+            yield from Bloom(every).pages(values[at])
+            yield from Bloom(twice).pages(values[at][many], every // PAGE)
+
+    return tuple(joined(_dealt(_blocks(docs, block, bands, batch), bands).mapInArrow(trimmed(meet), PAGE_SCHEMA), [every, twice]))
+
+
+# ---- 2. and 3. probe, and first places ----
+
+
+class _Held:
+    """Candidate windows of a task with the words they lie in."""
+
+    def __init__(self):
+        self.data, self.starts, self.ends = [], [], []
+        self.rows: list[list[np.ndarray]] = []  # hash, doc, row, at, number of the first word
+        self.n_words = self.n_bytes = self.n_rows = 0
+
+    def add(self, data: np.ndarray, words: _Words, hashes, doc, row, at, word) -> None:
+        self.rows.append([hashes, doc, row, at, word + self.n_words])
+        self.data.append(data)
+        self.starts.append(words.starts + self.n_bytes)
+        self.ends.append(words.ends + self.n_bytes)
+        self.n_words, self.n_bytes, self.n_rows = self.n_words + len(words.starts), self.n_bytes + len(data), self.n_rows + len(at)
+
+    def split(self, window: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """Windows that no earlier one here equals (hash, doc, row, at), and repeats (doc, row, at)."""
+        data, starts, ends = np.concatenate(self.data), np.concatenate(self.starts), np.concatenate(self.ends)
+        hashes, doc, row, at, word = (np.concatenate(c) for c in zip(*self.rows))
+        _, which, n = np.unique(hashes, return_inverse=True, return_counts=True)
+        lead = n[which] == 1
+        rest = np.flatnonzero(~lead)
+        if not len(rest):
+            return [hashes, doc, row, at], [doc[:0], row[:0], at[:0]]
+        rest = rest[np.lexsort((at[rest], row[rest], doc[rest], which[rest]))]
+        group = which[rest]
+        new = np.concatenate([[True], group[1:] != group[:-1]])
+        place = np.ones(len(rest), bool)  # not the place before it once more
+        place[1:] = new[1:] | (doc[rest][1:] != doc[rest][:-1]) | (row[rest][1:] != row[rest][:-1]) | (at[rest][1:] != at[rest][:-1])
+        rest, new = rest[place], new[place]
+        lead[rest[new]] = True
+        later = np.flatnonzero(~new)
+        x, y = rest[later], rest[later - 1]
+        same = _equal_windows(data, starts, ends, word[x], word[y], window)
+        lead[x[~same]] = True
+        x = x[same]
+        return [c[lead] for c in (hashes, doc, row, at)], [doc[x], row[x], at[x]]
+
+
+def _equal_windows(data, starts, ends, x: np.ndarray, y: np.ndarray, window: int) -> np.ndarray:
+    """Whether the windows of words from x and from y have equal words. Words that overlapping windows of one distance
+    share are compared once."""
+    order = np.lexsort((x, x - y))
+    a, step = x[order], (x - y)[order]
+    begin = a.copy()
+    near = (step[1:] == step[:-1]) & (a[1:] < a[:-1] + window)
+    begin[1:][near] = a[:-1][near] + window
+    size = a + window - begin
+    end = np.cumsum(size)
+    words = np.repeat(begin - (end - size), size) + np.arange(int(end[-1]) if len(end) else 0)
+    other = words - np.repeat(step, size)
+    differ = ~same_bytes(data, starts[words], ends[words], data, starts[other], ends[other])
+    total = np.concatenate([[0], np.cumsum(differ)])
+    out = np.empty(len(x), bool)
+    out[order] = total[end] == total[end - window]
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shipped.value
-        n_pages = len(bits) // page_bytes
-        held: list[np.ndarray] = []
 
-        def out(rows: np.ndarray, kind: int, band: np.ndarray) -> Iterator[pa.RecordBatch]:
-            own, raw = _packed_rows(rows, band)
-            if raw:
-                yield pa.record_batch([pa.array(own, pa.int32()), pa.array(np.full(len(raw), kind, np.int8)), pa.array(raw, pa.binary())], ["band", "kind", "rows"])
-
-        def packed() -> Iterator[pa.RecordBatch]:
-            rows = np.concatenate(held)
-            held.clear()
-            rows = rows[np.lexsort((rows["at"], rows["doc"], rows["high"], rows["low"]))]
-            first = np.ones(len(rows), bool)
-            first[1:] = (rows["low"][1:] != rows["low"][:-1]) | (rows["high"][1:] != rows["high"][:-1])
-            lead = rows[first]
-            yield from out(lead, 0, (lead["high"] % U64(bands)).astype(np.int32))
-            again = np.empty(int((~first).sum()), _PLACE_ROW)
-            again["doc"], again["at"] = rows["doc"][~first], rows["at"][~first]
-            yield from out(again, 1, (again["doc"] % bands).astype(np.int32))
+def _spans(doc: np.ndarray, row: np.ndarray, at: np.ndarray, window: int) -> list[np.ndarray]:
+    """(doc, row, start, end) of the maximal spans that windows cover."""
+    order = np.lexsort((at, row, doc))
+    doc, row, at = doc[order], row[order], at[order]
+    new = np.ones(len(at), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (at[1:] > at[:-1] + window)
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    return [doc[first], row[first], at[first], at[last] + window] if len(at) else [doc, row, at, at]
+
 
+def _place_band(doc: np.ndarray, row: np.ndarray, bands: int) -> np.ndarray:
+    return ((((doc ^ row).view(U64) * U64(0x9E3779B97F4A7C15)) >> U64(32)) % U64(bands)).astype(np.int64)
+
+
+def _out(kind: int, packets: Iterator[tuple[int, bytes]]) -> Iterator[pa.RecordBatch]:
+    rows = list(packets)
+    for a in range(0, len(rows), 1024):
+        own, raw = zip(*rows[a : a + 1024])
+        yield pa.record_batch([pa.array(own, pa.int32()), pa.array(np.full(len(own), kind, np.int8)), pa.array(raw, pa.binary())], ["band", "kind", "packet"])
+
+
+def candidates(docs: DataFrame, window: int, block: int, bands: int, shipped, batch_rows: int) -> DataFrame:
+    """(band, kind, packet): kind 0, the first of equal candidate windows of a task, by band of their hash; kind 1,
+    spans of windows that repeat others of the task, by band of their document."""
+
+    def packed(held: _Held) -> Iterator[pa.RecordBatch]:
+        lead, again = held.split(window)
+        order = np.lexsort((lead[3], lead[2], lead[1]))
+        lead = [c[order] for c in lead]
+        band = ((lead[0] >> U64(32)) * U64(bands)) >> U64(32)
+        yield from _out(0, by_band(band.astype(np.int64), *lead))
+        spans = _spans(*again, window)
+        yield from _out(1, by_band(_place_band(spans[0], spans[1], bands), *spans))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every, twice = shipped.value
+        held = _Held()
         for batch in batches:
-            data, offsets = utf8(batch.column(1))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            data, offsets = utf8(batch.column(2))
+            ids, rows = (batch.column(i).to_numpy() for i in range(2))
             for a, b in blocks(offsets):
-                words = _Words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                hashes, at, _ = words.anchors(block)
-                x, y = _filter_bits(hashes, n_pages, page_bytes)
-                hit = ((bits[x >> 3] >> (x & 7).astype(np.uint8)) & (bits[y >> 3] >> (y & 7).astype(np.uint8)) & 1).astype(bool)
-                if not hit.any():
-                    continue
-                # windows that hold an anchor whole: one of the window-block+1 runs in them was hit
+                body = data[offsets[a] : offsets[b]]
+                words = _Words(body, offsets[a : b + 1] - offsets[a])
+                keys, at, own = words.runs(block)
+                hit = every.has(keys)
+                hit[own] = twice.has(keys[own])
                 some = np.zeros(len(words.hashes) + 1, np.int32)
                 some[1:][at[hit]] = 1
                 some = np.cumsum(some)
-                good = inside(words.of, window)
-                start = np.flatnonzero(good)
+                start = np.flatnonzero(inside(words.of, window))
                 start = start[some[start + window - block + 1] > some[start]]
                 if not len(start):
                     continue
-                rows = np.empty(len(start), _WINDOW_ROW)
-                rows["low"] = gram_hash(words.hashes, window)[start]
-                rows["high"] = gram_hash(words.second(), window, 1)[start]
                 doc = np.searchsorted(words.of, start, "right") - 1
-                rows["doc"], rows["at"] = ids[a:b][doc], start - words.of[doc]
-                held.append(rows)
-                if sum(map(len, held)) >= batch_words // 2:
-                    yield from packed()
-        if held:
-            yield from packed()
-
-    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "band int, kind byte, rows binary")
-
-
-def _column_rows(raw: bytes, kind: np.dtype) -> np.ndarray:
-    n = len(raw) // kind.itemsize
-    out, at = np.empty(n, kind), 0
-    for name in kind.names:
-        size = n * kind[name].itemsize
-        out[name] = np.frombuffer(raw[at : at + size], kind[name])
-        at += size
-    return out
+                held.add(body, words, gram_hash(words.hashes, window, 1)[start], ids[a:b][doc], rows[a:b][doc], start - words.of[doc], start)
+                if held.n_rows >= batch_rows or held.n_words >= 4 * batch_rows:
+                    yield from packed(held)
+                    held = _Held()
+        if held.n_rows:
+            yield from packed(held)
 
+    return docs.select("doc_id", "row", "text").mapInArrow(trimmed(run), "band int, kind byte, packet binary")
 
-def _packed_rows(rows: np.ndarray, band: np.ndarray) -> tuple[list[int], list[bytes]]:
-    """Rows by band, each band's packed column by column."""
-    order = np.argsort(band, kind="stable")
-    rows, band = rows[order], band[order]
-    own, at = np.unique(band, return_index=True)
-    return own.tolist(), [b"".join(rows[n][a:b].tobytes() for n in rows.dtype.names) for a, b in zip(at, [*at[1:], len(rows)])]
 
+_SEGMENT = "doc_id long, row long, at long, n long, from_id long, from_row long, from_at long"
 
-def repeats(found: DataFrame, window: int, bands: int) -> DataFrame:
-    """(doc_id, spans): the maximal spans of words, end exclusive, that the repeats of a document cover."""
 
-    def again(rows: np.ndarray) -> np.ndarray:
-        rows = rows[np.lexsort((rows["at"], rows["doc"], rows["high"], rows["low"]))]
-        more = np.zeros(len(rows), bool)
-        more[1:] = (rows["low"][1:] == rows["low"][:-1]) & (rows["high"][1:] == rows["high"][:-1])
-        out = np.empty(int(more.sum()), _PLACE_ROW)
-        out["doc"], out["at"] = rows["doc"][more], rows["at"][more]
-        return out
+def segments(found: DataFrame, window: int, bands: int) -> DataFrame:
+    """(doc_id, row, at, n, from_id, from_row, from_at): n words that equal those at an earlier place, by their hashes;
+    from_* are null for those that are verified."""
 
-    def first_wins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Windows by hash band to places by document band."""
-        for band, rows in _by_band(batches):
-            raw = [(k.as_py(), r.as_buffer().to_pybytes()) for k, r in rows]
-            own, packed = [band] * sum(k for k, _ in raw), [r for k, r in raw if k == 1]
-            windows = [_column_rows(r, _WINDOW_ROW) for k, r in raw if k == 0]
-            if windows:
-                places = again(np.concatenate(windows))
-                more = _packed_rows(places, (places["doc"] % bands).astype(np.int32))
-                own, packed = own + more[0], packed + more[1]
-            for a in range(0, len(own), 1024):
-                yield pa.record_batch([pa.array(own[a : a + 1024], pa.int32()), pa.array(packed[a : a + 1024], pa.binary())], ["band", "rows"])
-
-    def spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, packed in _by_band(batches):
-            rows = np.concatenate([_column_rows(r.as_buffer().to_pybytes(), _PLACE_ROW) for (r,) in packed])
-            if not len(rows):
+    def first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Windows by hash band to (place, first place) by document band."""
+        for band, rows in grouped(batches):
+            raw = [(k.as_py(), p.as_buffer().to_pybytes()) for k, p in rows]
+            yield from _out(1, ((band, p) for k, p in raw if k == 1))
+            windows = [unpack(p, 4) for k, p in raw if k == 0]
+            if not windows:
                 continue
-            rows = rows[np.lexsort((rows["at"], rows["doc"]))]
-            new = np.ones(len(rows), bool)
-            other = rows["doc"][1:] != rows["doc"][:-1]
-            new[1:] = other | (rows["at"][1:] > rows["at"][:-1] + window)
-            at = np.flatnonzero(new)
-            last = np.append(at[1:], len(rows)) - 1
-            docs = rows["doc"][at]
-            head = np.flatnonzero(np.concatenate([[True], docs[1:] != docs[:-1]]))
-            pairs = pa.StructArray.from_arrays([pa.array(rows["at"][at]), pa.array(rows["at"][last] + np.int32(window))], ["start", "end"])
-            lists = pa.ListArray.from_arrays(pa.array(np.append(head, len(at)), pa.int32()), pairs)
-            whole = pa.record_batch([pa.array(docs[head]), lists], ["doc_id", "spans"])
-            for a in range(0, len(head), 4096):
-                yield whole.slice(a, 4096)
-
-    places = found.repartition(bands, "band").sortWithinPartitions("band").mapInArrow(trimmed(first_wins), "band int, rows binary")
-    return places.repartition(bands, "band").sortWithinPartitions("band").mapInArrow(trimmed(spans), "doc_id long, spans array<struct<start:int,end:int>>")
-
-
-def sizes(words: int, batch_words: int = BATCH_WORDS) -> tuple[int, int]:
-    """Number of bands, and words of a batch, for so many words in all."""
-    bands = int(-(-words // max(BAND_HASHES, SET_HASHES * words // MAX_BATCH_WORDS))) + 1
-    return bands, max(batch_words, min(MAX_BATCH_WORDS, SET_HASHES * bands))
-
-
-def repeat_spans(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER_BYTES, batch_words: int = BATCH_WORDS, page_bytes: int = PAGE_BYTES) -> DataFrame:
-    """(doc_id, spans): for documents with repeats, their maximal spans of removed words [start, end).
-
-    Columns read: doc_id (unique, not null for the rows to count), text; others are ignored."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter("doc_id is not null and text is not null")
-    block = max(1, window // 2)
-    size = docs.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0
-    words = size // 4 + 1
-    bands, batch_words = sizes(words, batch_words)
-    wanted = 1 << int(words // 4).bit_length()  # bytes: two bits or more for each word
-    bits = anchors(probes(docs, block, bands, batch_words), bands, max(1, min(filter_bytes, wanted) // page_bytes), page_bytes)
-    shipped = docs.sparkSession.sparkContext.broadcast(bits)
-    return materialise(repeats(candidates(docs, window, block, bands, shipped, batch_words, page_bytes), window, bands), "repeat-spans")
+            hashes, doc, row, at = (np.concatenate(c) for c in zip(*windows))
+            _, which, n = np.unique(hashes, return_inverse=True, return_counts=True)
+            rest = np.flatnonzero(n[which] > 1)
+            if not len(rest):
+                continue
+            rest = rest[np.lexsort((at[rest], row[rest], doc[rest], which[rest]))]
+            new = np.concatenate([[True], which[rest][1:] != which[rest][:-1]])
+            lead = rest[np.flatnonzero(new)[np.cumsum(new) - 1]]
+            other = (doc[rest] != doc[lead]) | (row[rest] != row[lead]) | (at[rest] != at[lead])
+            rest, lead = rest[other], lead[other]
+            order = np.lexsort((at[rest], row[rest], doc[rest]))
+            rest, lead = rest[order], lead[order]
+            columns = [doc[rest], row[rest], at[rest], doc[lead], row[lead], at[lead]]
+            yield from _out(0, by_band(_place_band(doc[rest], row[rest], bands), *columns))
+
+    def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Places whose first places follow each other to maximal repeats."""
+        for _, rows in grouped(batches):
+            raw = [(k.as_py(), p.as_buffer().to_pybytes()) for k, p in rows]
+            if sure := [unpack(p, 4) for k, p in raw if k == 1]:
+                doc, row, start, end = (np.concatenate(c) for c in zip(*sure))
+                none = pa.nulls(len(doc), pa.int64())
+                yield from _batches([pa.array(doc), pa.array(row), pa.array(start), pa.array(end - start), none, none, none])
+            if pairs := [unpack(p, 6) for k, p in raw if k == 0]:
+                doc, row, at, *lead = (np.concatenate(c) for c in zip(*pairs))
+                order = np.lexsort((at, row, doc))
+                doc, row, at, *lead = (c[order] for c in (doc, row, at, *lead))
+                new = np.ones(len(at), bool)
+                new[1:] = (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
+                new[1:] |= (lead[0][1:] != lead[0][:-1]) | (lead[1][1:] != lead[1][:-1]) | (lead[2][1:] != lead[2][:-1] + 1)
+                first = np.flatnonzero(new)
+                n = np.diff(np.append(first, len(at))) - 1 + window
+                yield from _batches([pa.array(c) for c in (doc[first], row[first], at[first], n, *(x[first] for x in lead))])
+
+    def _batches(columns: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        whole = pa.record_batch(columns, ["doc_id", "row", "at", "n", "from_id", "from_row", "from_at"])
+        for a in range(0, len(whole), 4096):
+            yield whole.slice(a, 4096)
+
+    places = _dealt(found, bands).mapInArrow(trimmed(first_places), "band int, kind byte, packet binary")
+    return _dealt(places, bands).mapInArrow(trimmed(extend), _SEGMENT)
+
+
+# ---- 4. and 5. compare, and remove ----
+
+
+def _send(docs: DataFrame, keys: Bloom, copies: dict[tuple[int, int], int] | None = None) -> DataFrame:
+    """(doc_id, row, salt, text) of documents whose key the filter has: one for each different (doc_id, row) of a task, and
+    as many copies of it, numbered by salt, as copies says."""
+    shipped = docs.sparkSession.sparkContext.broadcast((keys, copies or {}))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, copies = shipped.value
+        sent: set[tuple[int, int]] = set()
+        for batch in batches:
+            take, salts = [], []
+            chosen = np.flatnonzero(keys.has(batch.column(2).to_numpy().view(U64)))
+            for i, place in zip(chosen.tolist(), zip(batch.column(0).take(pa.array(chosen)).to_pylist(), batch.column(1).take(pa.array(chosen)).to_pylist())):
+                if place not in sent:
+                    sent.add(place)
+                    n = copies.get(place, 1)
+                    take += [i] * n
+                    salts += range(n)
+            for a in range(0, len(take), 256):
+                own = pa.array(take[a : a + 256], pa.int64())
+                yield pa.record_batch([batch.column(0).take(own), batch.column(1).take(own), pa.array(salts[a : a + 256], pa.int32()), batch.column(3).take(own)], ["doc_id", "row", "salt", "text"])
+
+    known = docs.filter("doc_id is not null")
+    return known.select("doc_id", "row", "key", "text").mapInArrow(trimmed(run), "doc_id long, row long, salt int, text string")
+
+
+def _bytes(text: pa.Scalar) -> bytes:
+    return text.as_buffer().to_pybytes() if text.is_valid else b""
+
+
+_SLICE = "doc_id long, row long, kind int, at long, n long, words binary"
+
+
+def slices(docs: DataFrame, found: DataFrame, n_found: int, tasks: int, filter_bytes: int, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """Segments with the words at their first place, joined by one space: (doc_id, row, kind 3, at, n, words)."""
+    sources = found.groupBy("from_id", "from_row").agg(F.count("*").alias("leaning"))
+    most = max(salt_rows, n_found // MOST_SALTED)
+    copies = {(r["from_id"], r["from_row"]): -(-r["leaning"] // most) for r in sources.filter(F.col("leaning") > most).toLocalIterator()}
+    keys = sources.select(F.xxhash64("from_id", "from_row"))
+    texts = _send(docs, build(keys, sources.count(), filter_bytes), copies)
+    salt = F.lit(0)
+    if copies:
+        hot = docs.sparkSession.createDataFrame([(*k, n) for k, n in copies.items()], "from_id long, from_row long, salts int")
+        found = found.join(F.broadcast(hot), ["from_id", "from_row"], "left")
+        salt = F.pmod(F.xxhash64("doc_id", "row", "at"), F.coalesce("salts", F.lit(1))).cast("int")
+    wanted = found.select("from_id", "from_row", salt.alias("salt"), F.lit(1).alias("kind"), F.lit(None).cast("string").alias("text"), "doc_id", "row", "at", "n", "from_at")
+    none = [F.lit(None).cast("long").alias(c) for c in ("a", "b", "c", "d", "e")]
+    rows = texts.select(F.col("doc_id").alias("from_id"), F.col("row").alias("from_row"), "salt", F.lit(0).alias("kind"), "text", *none).union(wanted)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, words = None, []
+        for batch in batches:
+            out = []
+            key = zip(*(batch.column(i).to_pylist() for i in range(3)))
+            for i, (place, kind) in enumerate(zip(key, batch.column(3).to_pylist())):
+                if kind == 0:
+                    if place != now:
+                        now, words = place, _bytes(batch.column(4)[i]).split()
+                elif place == now:
+                    doc, row, at, n, first = (batch.column(j)[i].as_py() for j in range(5, 10))
+                    out.append((doc, row, 3, at, n, b" ".join(words[first : first + n])))
+            if out:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))], ["doc_id", "row", "kind", "at", "n", "words"])
 
-def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER_BYTES, **more: int) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): the words of each text that no repeated window covers, joined by one space.
+    keys = ["from_id", "from_row", "salt"]
+    return rows.repartition(tasks, *keys).sortWithinPartitions(*keys, "kind").mapInArrow(trimmed(cut), _SLICE)
+
+
+_KEPT = "doc_id long, n_words long, n_removed long, kept binary"
 
-    A window is a repeat if its words start earlier too: at a smaller doc_id, or earlier in the same
-    document. doc_id must be unique for that order to mean anything; rows that repeat a doc_id share
-    its spans. A null or empty text has no words; a null doc_id keeps all its words. An empty
-    table gives an empty table.
-    """
-    spans = repeat_spans(docs, window, filter_bytes, **more)
+
+def removed(texts: DataFrame, marks: DataFrame, window: int, tasks: int) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept, row, odd) of the texts that were sent; odd: hashes of windows whose words differ
+    from those at the first place of their hash.
+
+    marks: (doc_id, row, kind, at, n, words): kind 1, n rows have this place; kind 2, n words from at go; kind 3, they go
+    where they equal words."""
+    rows = texts.select("doc_id", "row", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("at"), F.lit(0).cast("long").alias("n"), F.col("text").cast("binary").alias("words")).union(marks)
+
+    def finish(place, words: list[bytes], copies: int, gone: np.ndarray, odd: set[int]) -> list[tuple]:
+        kept = [w for w, g in zip(words, gone) if not g] if gone.any() else words
+        out = [(place[0], len(words), len(words) - len(kept), b" ".join(kept), place[1], sorted(odd))]
+        if copies > 1:
+            n = len(words)
+            out += [(place[0], n, n if n >= window else 0, b"" if n >= window else b" ".join(words), place[1], [])] * (copies - 1)
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, words, copies, gone, odd = None, [], 1, np.zeros(0, bool), set()
         for batch in batches:
-            out = []
-            for doc_id, text, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                words = text.as_buffer().to_pybytes().split() if text.is_valid else []
-                n = len(words)
-                if found.is_valid:
-                    pairs = found.values
-                    for a, b in zip(pairs.field(0).to_pylist()[::-1], pairs.field(1).to_pylist()[::-1]):
-                        del words[a:b]
-                out.append((doc_id, n, n - len(words), b" ".join(words)))
-            if out:
-                i, n, gone, kept = zip(*out)
-                yield pa.record_batch([pa.array(i, pa.int64()), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
+            out: list[tuple] = []
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for i, (doc, row, kind, at, n) in enumerate(zip(*columns)):
+                if kind == 0:
+                    if (doc, row) != now:
+                        if now is not None:
+                            out += finish(now, words, copies, gone, odd)
+                        now, words, copies, odd = (doc, row), _bytes(batch.column(5)[i]).split(), 1, set()
+                        gone = np.zeros(len(words), bool)
+                elif (doc, row) != now:
+                    continue
+                elif kind == 1:
+                    copies = n
+                elif kind == 2:
+                    gone[at : at + n] = True
+                else:
+                    own, other = words[at : at + n], _bytes(batch.column(5)[i])
+                    if b" ".join(own) == other:
+                        gone[at : at + n] = True
+                    else:
+                        differ = np.array([x != y for x, y in zip(own, other.split())])
+                        total = np.concatenate([[0], np.cumsum(differ)])
+                        equal = total[window:] == total[:-window]
+                        for j in np.flatnonzero(equal).tolist():
+                            gone[at + j : at + j + window] = True
+                        odd |= set(_window_hashes(own, window)[~equal].tolist())
+            yield from _removed_batches(out)
+        if now is not None:
+            yield from _removed_batches(finish(now, words, copies, gone, odd))
+
+    return rows.repartition(tasks, "doc_id", "row").sortWithinPartitions("doc_id", "row", "kind", "at").mapInArrow(trimmed(run), f"{_KEPT}, row long, odd array<long>")
+
+
+def _removed_batches(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(rows), 64):
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
+        yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 64]), types)], ["doc_id", "n_words", "n_removed", "kept", "row", "odd"])
+
+
+def _window_hashes(words: list[bytes], window: int) -> np.ndarray:
+    data = np.frombuffer(b" ".join(words), np.uint8)
+    starts, ends, _ = word_bounds(data, np.array([0, len(data)]))
+    return gram_hash(span_hash(data, starts, ends), window, 1).view(np.int64)
+
+
+def _by_words(docs: DataFrame, odd: DataFrame, window: int, filter_bytes: int) -> DataFrame:
+    """Marks (kind 2) of all repeated windows among those whose hash is odd, grouped by their words."""
+    odd = odd.distinct()
+    shipped = docs.sparkSession.sparkContext.broadcast(build(odd.select(F.xxhash64("hash")), odd.count(), filter_bytes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                words = _bytes(text).split()
+                if len(words) < window:
+                    continue
+                hashes = _window_hashes(words, window)
+                for a in range(0, len(hashes), 1024):
+                    part = hashes[a : a + 1024].tolist()
+                    raw = [b" ".join(words[i : i + window]) for i in range(a, a + len(part))]
+                    n = len(part)
+                    yield pa.record_batch([pa.array([doc] * n, pa.int64()), pa.array([row] * n, pa.int64()), pa.array(range(a, a + n), pa.int64()), pa.array(part, pa.int64()), pa.array(raw, pa.binary())], ["doc_id", "row", "at", "hash", "words"])
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = shipped.value
+        for batch in batches:
+            yield batch.filter(pa.array(keys.has(batch.column(5).to_numpy().view(U64)))).select(list(range(5)))
+
+    every = docs.filter("doc_id is not null and text is not null").select("doc_id", "row", "text").mapInArrow(trimmed(run), "doc_id long, row long, at long, hash long, words binary")
+    every = every.withColumn("key", F.xxhash64("hash")).mapInArrow(probe, "doc_id long, row long, at long, hash long, words binary")
+    place = F.struct("doc_id", "row", "at")
+    first = every.groupBy("words").agg(F.min(place).alias("first"), F.count("*").alias("rows")).filter("rows > 1").drop("rows")
+    again = every.join(first, "words").filter(place > F.col("first")).select("doc_id", "row", "at").distinct()
+    return again.select("doc_id", "row", F.lit(2).alias("kind"), "at", F.lit(window).cast("long").alias("n"), F.lit(None).cast("binary").alias("words"))
+
+
+def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER_BYTES, band_rows: int = BAND_ROWS, batch: int = BATCH, salt_rows: int = SALT_ROWS) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept): the words of each text that no repeated window covers, joined by one space.
+
+    Columns read: doc_id, text; others are ignored. A window is a repeat if its words start earlier too: at a smaller
+    doc_id, or earlier in the same document. Rows that repeat a doc_id are taken in the order of a digest of their texts;
+    of rows that repeat doc_id and text one is the first, and the others lose every word that a window
+    covers. A null or empty text has no words; a row with a null doc_id keeps all its words, and none is judged by it.
+    An empty table gives an empty table.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    known = docs.filter("doc_id is not null")
+    row, twins = F.lit(0).cast("long"), None
+    if not known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        row = F.conv(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 15), 16, 10).cast("long")
+        twins = known.select("doc_id", row.alias("row")).groupBy("doc_id", "row").count().filter("count > 1")
+        twins = materialise(twins, "repeated-rows")
+    docs = docs.select("doc_id", row.alias("row"), F.xxhash64("doc_id", row).alias("key"), "text")
+    known = docs.filter("doc_id is not null and text is not null")
+    words = (known.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0) // 6 + 1
+    block = max(1, window // 2)
+    shipped = docs.sparkSession.sparkContext.broadcast(index(known, block, words // block + 1, filter_bytes, band_rows, batch))
+    bands, batch = sizes(words, 3 * band_rows, batch)
+    found = materialise(segments(candidates(known, window, block, bands, shipped, batch), window, bands), "repeated-segments")
+
+    pairs = found.filter("from_id is not null")
+    n_pairs = pairs.count()
+    none = F.lit(None).cast("binary").alias("words")
+    marks = found.filter("from_id is null").select("doc_id", "row", F.lit(2).alias("kind"), "at", "n", none)
+    held = found.select("doc_id", "row")
+    if twins is not None:
+        marks = marks.union(twins.select("doc_id", "row", F.lit(1), F.lit(0).cast("long"), "count", none))
+        held = held.union(twins.select("doc_id", "row"))
+    held = held.distinct()
+    touched = build(held.select(F.xxhash64("doc_id", "row")), held.count(), filter_bytes)
+    texts = _send(docs, touched).drop("salt")
+    compared = marks
+    if n_pairs:
+        compared = marks.union(slices(known, pairs, n_pairs, bands, filter_bytes, salt_rows))
+    done = materialise(removed(texts, compared, window, bands), "passages")
+    odd = done.select(F.explode("odd").alias("hash"))
+    if not odd.isEmpty():
+        more = materialise(_by_words(known, odd, window, filter_bytes), "passages-by-words")
+        again = held.union(more.select("doc_id", "row")).distinct()
+        touched = build(again.select(F.xxhash64("doc_id", "row")), again.count(), filter_bytes)
+        done = materialise(removed(_send(docs, touched).drop("salt"), compared.union(more), window, bands), "passages")
+    discard(found)
+
+    keys = docs.sparkSession.sparkContext.broadcast(touched)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Documents that were not sent, with all their words."""
+        for batch in batches:
+            stay = ~keys.value.has(batch.column(1).to_numpy().view(U64)) | ~batch.column(0).is_valid().to_numpy(zero_copy_only=False)
+            batch = batch.filter(pa.array(stay))
+            words = [_bytes(t).split() for t in batch.column(2)]
+            n = pa.array([len(w) for w in words], pa.int64())
+            yield pa.record_batch([batch.column(0), n, pa.array(np.zeros(len(words), np.int64)), pa.array([b" ".join(w) for w in words], pa.binary())], ["doc_id", "n_words", "n_removed", "kept"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(spans.hint("shuffle_hash"), "doc_id", "left")
-    return rows.select("doc_id", "text", "spans").mapInArrow(trimmed(run), "doc_id long, n_words long, n_removed long, kept binary")
+    return docs.select("doc_id", "key", "text").mapInArrow(trimmed(whole), _KEPT).union(done.drop("row", "odd"))

@@ -23,3 +23,10 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fp
 def documents(spark, rows=ROWS):
     """Rows with the usual columns and extra ones whose names operators use inside."""
     return spark.createDataFrame([(i, t, None, None, None, 5, "d", 1, "u") for i, t in rows], SCHEMA)
+
+
+def thue_morse(size):
+    """A word of a and b and its complement, which differ in every place and yet agree in any polynomial modulo 2**64
+    with an odd base, if size is large enough."""
+    bits = [bin(i).count("1") & 1 for i in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)

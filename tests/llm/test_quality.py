@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import numpy as np
@@ -6,7 +7,7 @@ import numpy as np
 from gapweave.llm import quality, queries
 from gapweave.llm.kernels import byte_grams
 from gapweave.llm.shared import table
-from tests.llm.cases import ROWS, documents
+from tests.llm.cases import ROWS, documents, thue_morse
 
 
 def brute(text):
@@ -72,3 +73,24 @@ def test_awkward_rows(spark):
     none = quality.quality(docs, labels.limit(0)).collect()
     assert {r["score"] for r in none} == {0.0} and all(r["kept"] != r["base_failed"] for r in none)
     assert quality.quality(docs.limit(0), labels).count() == 0
+
+
+def base(texts):
+    data = "".join(texts).encode()
+    offsets = np.cumsum([0, *(len(t.encode()) for t in texts)])
+    found = quality.base_counts(np.frombuffer(data, np.uint8), offsets)
+    return [tuple(int(v[i]) for v in found.values()) for i in range(len(texts))]
+
+
+def test_hashes_that_collide_change_nothing(monkeypatch):
+    rng = random.Random(4)
+    texts = ["\n".join(" ".join(rng.choice(["a", "b", "cc", *thue_morse(1024)]) for _ in range(rng.randint(0, 9))) for _ in range(rng.randint(0, 8))) for _ in range(60)]
+    x, y = thue_morse(1024)
+    texts += [f"{x}\n{y}", f"{x} {x} {y} {y} {x} {y} {y} {x} {x} {y}", "", f"a\tb c d e\n a b c d e"]
+    want = [brute(t)[:5] for t in texts]
+    assert base(texts) == want
+    spans, grams = quality.span_hash, quality.gram_hash
+    for most in (1, 3):
+        monkeypatch.setattr(quality, "span_hash", lambda d, a, b: spans(d, a, b) % np.uint64(most))
+        monkeypatch.setattr(quality, "gram_hash", lambda w, k: grams(w, k) % np.uint64(most))
+        assert base(texts) == want

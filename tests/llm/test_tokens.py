@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from gapweave.llm import bpe, packing, queries
 from gapweave.llm.kernels import blocks, utf8
 from gapweave.llm.shared import table
-from tests.llm.cases import ROWS, documents
+from tests.llm.cases import ROWS, documents, thue_morse
 
 RANKS_PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
 WORDS_PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -77,10 +77,9 @@ def test_bpe_awkward_rows(spark):
 
 def test_words_as_the_tokenizer():
     whole = Tokenizer.from_file(WORDS_PATH)
-    whole.encode_special_tokens = True
     rng, words = random.Random(6), packing.WordIds(WORDS_PATH)
-    alphabet = [*ALPHABET, "\x0b", "\x0c", "İ", "ẞ", "Σ", "á", "<|endoftext|>", "T", "T\u0308", "K", "The", ",", ".", "***", "$$$", "\u212a"]
-    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(3000)] + ["\x01 a \x01b \x01"]
+    alphabet = [*ALPHABET, "\x0b", "\x0c", "İ", "ẞ", "Σ", "á", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "T", "T\u0308", "K", "The", ",", ".", "***", "$$$", "\u212a"]
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 60))) for _ in range(3000)] + ["\x01 a \x01b \x01", "hello <|endoftext|> world", "a<|startoftext|>b<|endoftext|><|endoftext|>", "<|Endoftext|> <| endoftext |>"]
     check_words(words, whole, texts, 2000)
 
 
@@ -103,9 +102,18 @@ def test_word_cache_starts_anew(monkeypatch):
 
 def test_words_that_share_a_hash(monkeypatch):
     real = packing.span_hash
-    monkeypatch.setattr(packing, "span_hash", lambda d, a, b, lane=0: real(d, a, b, lane) & np.uint64(3 if lane == 0 else 0xFFFF))
-    words = packing.WordIds(WORDS_PATH)
-    check_words(words, words.tokenizer, ["one two three four five six seven", "eight nine ten", "one"] * 3, 30)
+    texts = ["one two three four five six seven", "eight nine ten", "one"] * 3
+    for most in (1, 4, 1 << 20):
+        monkeypatch.setattr(packing, "span_hash", lambda d, a, b, most=most: real(d, a, b) % np.uint64(most))
+        words = packing.WordIds(WORDS_PATH)
+        check_words(words, words.tokenizer, texts, 30)
+        check_words(words, words.tokenizer, texts[::-1], 8)
+
+
+def test_words_of_a_pattern_that_linear_hashes_confuse():
+    whole, words = Tokenizer.from_file(WORDS_PATH), packing.WordIds(WORDS_PATH)
+    for size in (64, 1024, 4096):
+        check_words(words, whole, [" ".join(thue_morse(size)), *thue_morse(size)], 1 << 18)
 
 
 def bin_by_bin(counts, width):
@@ -177,6 +185,7 @@ def test_packing_awkward_rows(spark):
     cut = packing.packed_pieces(docs, WORDS_PATH)
     rows = cut.collect()
     assert check_gapless(rows) < 60 and sum(r["piece"] == 0 for r in rows) == len(ROWS) + 40
-    small = packing.pack(cut.drop("sequence_id", "offset"), rank_rows=3).collect()
-    assert check_gapless(small) == check_gapless(rows)
+    for more in ({"rank_rows": 3}, {"rank_rows": 3, "max_buckets": 2}):
+        small = packing.pack(cut.drop("sequence_id", "offset"), **more).collect()
+        assert check_gapless(small) == check_gapless(rows)
     assert packing.packed_pieces(docs.limit(0), WORDS_PATH).count() == 0
