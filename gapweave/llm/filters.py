@@ -6,7 +6,7 @@ when it would be nearly full it is not built and lets everything through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -98,8 +98,13 @@ def joined(parts: DataFrame, sizes: list[int]) -> list[Bloom]:
     return out
 
 
-def build(keys: DataFrame, n_keys: int, most: int) -> Bloom:
-    """Filter of a column of keys (long, well mixed), n of them, of `most` bytes at most."""
+def longs(batch: pa.RecordBatch) -> np.ndarray:
+    return batch.column(0).to_numpy().view(U64)
+
+
+def build(keys: DataFrame, n_keys: int, most: int, keys_of: Callable[[pa.RecordBatch], np.ndarray] = longs) -> Bloom:
+    """Filter of the keys that keys_of finds in rows, by default a column of longs, well mixed; n of them; of `most` bytes at
+    most."""
     size = size_for(n_keys, most)
     if not size:
         return Bloom(1, full=True)
@@ -107,7 +112,7 @@ def build(keys: DataFrame, n_keys: int, most: int) -> Bloom:
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, shape = [], Bloom(size)
         for batch in batches:
-            held.append(batch.column(0).to_numpy().view(U64))
+            held.append(keys_of(batch))
             if sum(map(len, held)) > 1_000_000:
                 yield from shape.pages(np.concatenate(held))
                 held = []

@@ -9,6 +9,15 @@ import numpy as np
 import pyarrow as pa
 
 _CODEC = pa.Codec("zstd", compression_level=1)
+#: Rows that a packet has at least, in the mean, once a batch is as large as it may be.
+LEAST = 64
+
+
+def sizes(rows: int, band_rows: int, batch: int, most_batch: int) -> tuple[int, int]:
+    """Number of bands, and rows of a batch, for so many rows in all: bands of band_rows and batches of `batch`, both
+    more for very large inputs, so that a batch still has some LEAST rows for each band."""
+    bands = int(-(-rows // max(band_rows, LEAST * rows // most_batch))) + 1
+    return bands, max(batch, min(most_batch, LEAST * bands))
 
 
 def pack(*columns: np.ndarray) -> bytes:

@@ -32,29 +32,22 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.filters import PAGE, PAGE_SCHEMA, Bloom, build, joined, size_for
 from gapweave.llm.kernels import U64, blocks, gram_hash, inside, same_bytes, span_hash, trimmed, utf8, word_bounds
-from gapweave.llm.packets import by_band, grouped, pack, unpack
+from gapweave.llm.packets import by_band, grouped, sizes, unpack
 from gapweave.llm.shared import discard, materialise
 
 WINDOW = 20
 #: Largest size of the broadcast filters of blocks, and of that of documents with repeats.
 FILTER_BYTES = 32 << 20
 #: Rows that one band's task holds at a time, and rows that a task gathers before it packs them. For very large
-#: inputs both grow, the second to MAX_BATCH, so that a packet still has some PACKET rows.
+#: inputs both grow, the second to MAX_BATCH, see sizes().
 BAND_ROWS = 400_000
 BATCH = 400_000
 MAX_BATCH = 8_000_000
-PACKET = 64
 #: Documents that lean on one source and are compared with one copy of it, and the most sources that have several copies.
 SALT_ROWS = 1_000
 MOST_SALTED = 100_000
 
 
-def sizes(rows: int, band_rows: int, batch: int) -> tuple[int, int]:
-    """Number of bands, and rows of a batch, for so many rows in all."""
-    bands = int(-(-rows // max(band_rows, PACKET * rows // MAX_BATCH))) + 1
-    return bands, max(batch, min(MAX_BATCH, PACKET * bands))
-
-
 class _Words:
     """Words of a block of documents and the hashes of their runs."""
 
@@ -111,7 +104,7 @@ def index(docs: DataFrame, block: int, n_blocks: int, most: int = FILTER_BYTES,
     if not every:
         return Bloom(1, full=True), Bloom(1, full=True)
     every, twice = -(-every // PAGE) * PAGE, max(PAGE, every // 3 // PAGE * PAGE)
-    bands, batch = sizes(n_blocks, band_rows, batch)
+    bands, batch = sizes(n_blocks, band_rows, batch, MAX_BATCH)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in grouped(batches):
@@ -501,7 +494,7 @@ def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER
     words = (known.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0) // 6 + 1
     block = max(1, window // 2)
     shipped = docs.sparkSession.sparkContext.broadcast(index(known, block, words // block + 1, filter_bytes, band_rows, batch))
-    bands, batch = sizes(words, 3 * band_rows, batch)
+    bands, batch = sizes(words, 3 * band_rows, batch, MAX_BATCH)
     found = materialise(segments(candidates(known, window, block, bands, shipped, batch), window, bands), "repeated-segments")
 
     pairs = found.filter("from_id is not null")

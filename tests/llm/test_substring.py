@@ -111,6 +111,6 @@ def test_maximal_repeats_are_extended(spark):
 
 def test_packets_stay_worth_their_rows_at_any_size():
     for rows in (10, 10**6, 10**9, 10**11, 10**13):
-        bands, batch = substring.sizes(rows, substring.BAND_ROWS, substring.BATCH)
-        assert batch <= substring.MAX_BATCH and batch >= 0.99 * substring.PACKET * (bands - 2)
+        bands, batch = packets.sizes(rows, substring.BAND_ROWS, substring.BATCH, substring.MAX_BATCH)
+        assert batch <= substring.MAX_BATCH and batch >= 0.99 * packets.LEAST * (bands - 2)
         assert rows / bands <= max(substring.BAND_ROWS, 1e-5 * rows)
