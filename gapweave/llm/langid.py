@@ -199,8 +199,8 @@ def _sums(rows: DataFrame, *by: str, name: str) -> DataFrame:
     return sums.groupBy(*by).agg(F.collect_list(F.struct("l", "s")).alias(name))
 
 
-def identify(rows: DataFrame, model: TextModel) -> DataFrame:
-    """(id, declared, host, text_lang, lang, posterior, fit, rejected) of every row.
+def identify(rows: DataFrame, model: TextModel, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, declared, host, text_lang, lang, posterior, fit, rejected, carry) of every row.
 
     rows: id long, text, declared, suffix, host, domain (strings). Nulls in the last four are
     missing evidence: a null host or domain has the corpus' prior, a null declaration or suffix
@@ -210,9 +210,9 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     table.
     """
     k = len(model.languages)
-    found = materialise(_textual(rows.select("id", "declared", "suffix", "host", "domain", "text"), model), "language-scores")
+    found = materialise(_textual(rows.select("id", "declared", "suffix", "host", "domain", *carry, "text"), model), "language-scores")
     if not k:
-        return found.select("id", "declared", "host", F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(0.0).alias("fit"), F.lit(True).alias("rejected"))
+        return found.select("id", "declared", "host", F.lit(None).cast("string").alias("text_lang"), F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("posterior"), F.lit(0.0).alias("fit"), F.lit(True).alias("rejected"), *carry)
     some = found.filter("grams > 0")
     corpus = np.zeros(k) + OTHER_WEIGHT
     for row in some.select(F.explode("soft").alias("x")).groupBy("x.l").agg(F.sum("x.s").alias("s")).collect():
@@ -224,7 +224,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     joined = found.withColumn("of", F.coalesce("domain", F.lit(""))).join(hosts, ["host", "of"], "left")
     for name in ("declared", "suffix"):
         joined = joined.join(_sums(some.filter(F.col(name).isNotNull()), name, name=f"{name}_sums"), name, "left")
-    names, languages = ["id", "declared", "host", "scores", "grams", "letters", "own", "above", "declared_sums", "suffix_sums"], model.languages
+    names, languages = ["id", "declared", "host", "scores", "grams", "letters", "own", "above", "declared_sums", "suffix_sums", *carry], model.languages
 
     def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def sums(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -257,15 +257,18 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
             fit_ = np.round(scores[np.arange(len(best)), best] / (grams + FIT_SHRINK), 6)
             text_lang = np.where(grams > 0, labels[scores.argmax(1)], None)
             rejected = (batch.column(5).to_numpy() == 0) | (top < MIN_POSTERIOR) | (fit_ < MIN_FIT)
-            arrays = [*batch.columns[:3], pa.array(text_lang, pa.string()), pa.array(labels[best], pa.string()), pa.array(top), pa.array(fit_), pa.array(rejected)]
-            yield pa.record_batch(arrays, ["id", "declared", "host", "text_lang", "lang", "posterior", "fit", "rejected"])
+            arrays = [*batch.columns[:3], pa.array(text_lang, pa.string()), pa.array(labels[best], pa.string()), pa.array(top), pa.array(fit_), pa.array(rejected), *batch.columns[10:]]
+            yield pa.record_batch(arrays, out.names)
 
-    return joined.select(*names).mapInArrow(trimmed(fuse), "id long, declared string, host string, text_lang string, lang string, posterior double, fit double, rejected boolean")
+    out = StructType.fromDDL("id long, declared string, host string, text_lang string, lang string, posterior double, fit double, rejected boolean")
+    for field in found.select(*carry).schema:
+        out = out.add(field)
+    return joined.select(*names).mapInArrow(trimmed(fuse), out)
 
 
-def of_documents(docs: DataFrame) -> DataFrame:
-    """documents as evidence: lang is what was declared, source stands for the host."""
-    return docs.select(F.col("doc_id").cast("long").alias("id"), "text", F.lower(F.split("lang", "[-_]")[0]).alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"))
+def of_documents(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """documents as evidence: lang is what was declared, source stands for the host; and carry."""
+    return docs.select(*carry, F.col("doc_id").cast("long").alias("id"), "text", F.lower(F.split("lang", "[-_]")[0]).alias("declared"), F.lit(None).cast("string").alias("suffix"), F.col("source").alias("host"), F.lit(None).cast("string").alias("domain"))
 
 
 def of_pages(pages: DataFrame) -> DataFrame:

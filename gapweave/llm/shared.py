@@ -5,14 +5,18 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; only where it is unset, as in tests, an own one."""
+    """The folder named by spark.checkpoint.dir. Only where it is unset and the master is local, as in tests, an own one: on a
+    cluster a folder of one machine would lose what other machines write."""
     at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="gapweave-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -23,7 +27,8 @@ BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.ex
 
 
 def tune(docs: DataFrame) -> DataFrame:
-    """docs, with batches for Python kept small, so that a worker's memory does not grow with long texts."""
+    """docs, with batches for Python kept small, so that a worker's memory does not grow with long texts. The settings
+    stay in the session, where it has no values of its own: plans take them when they run, after this returns."""
     conf = docs.sparkSession.conf
     for key, value in BATCHES.items():
         if conf.get(key, None) is None:
@@ -70,15 +75,44 @@ def discard_since(spark: SparkSession, mark: int, keep: DataFrame) -> None:
             _delete(spark, path)
 
 
-#: Ids that a broadcast may hold (8 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Columns that name a row: a hash of its file's name, and its place in the file. No operator's input has such columns.
+ROW = ("__row_file", "__row_place")
 
 
-def without(docs: DataFrame, ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
-    """docs but for those whose doc_id is in ids (doc_id). Rows with a null doc_id stay, as no decision names them."""
-    ids = materialise(ids.filter("doc_id is not null").select(F.col("doc_id").alias("dropped_id")).distinct(), "dropped-ids")
-    side = F.broadcast(ids) if ids.count() <= most else ids.hint("shuffle_hash")
-    return docs.join(side, docs["doc_id"] == F.col("dropped_id"), "left_anti")
+def numbered(docs: DataFrame) -> DataFrame:
+    """docs with ROW. Rows read from Parquet files have a place already; others are written first."""
+    columns = F.xxhash64("_metadata.file_path").alias(ROW[0]), F.col("_metadata.row_index").alias(ROW[1])
+    try:
+        return docs.select("*", *columns)
+    except AnalysisException:
+        return materialise(docs, "rows").select("*", *columns)
+
+
+#: Rows that a broadcast may name (16 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def without(rows: DataFrame, dropped: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """rows but for those that dropped names, both with ROW; without ROW."""
+    names = [f"{c}_dropped" for c in ROW]
+    dropped = materialise(dropped.select(*(F.col(c).alias(n) for c, n in zip(ROW, names))), "dropped-rows")
+    side = F.broadcast(dropped) if dropped.count() <= most else dropped.hint("shuffle_hash")
+    on = (F.col(ROW[0]) == F.col(names[0])) & (F.col(ROW[1]) == F.col(names[1]))
+    return rows.join(side, on, "left_anti").drop(*ROW)
+
+
+#: Values with more rows than this, and than the rows by HOT_VALUES, are joined by a broadcast: there are HOT_VALUES at most.
+HOT_ROWS, HOT_VALUES = 10_000, 100_000
+
+
+def join_counted(rows: DataFrame, found: DataFrame, key: str, count: str, n_rows: int) -> DataFrame:
+    """rows joined by key with found, which has each value of key once, and how many of rows have it as count (dropped):
+    those of values that many rows have by a broadcast, so that no task gets them all."""
+    most = max(HOT_ROWS, n_rows // HOT_VALUES)
+    hot, rest = found.filter(F.col(count) > most).drop(count), found.filter(F.col(count) <= most).drop(count)
+    if hot.isEmpty():
+        return rows.join(rest, key)
+    return rows.join(F.broadcast(hot), key).unionByName(rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(rest, key))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

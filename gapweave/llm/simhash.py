@@ -11,7 +11,7 @@ under (that segment as it is, a fuzzy key of the next): at most 18 keys each.
 Keys with more than `hot` distinct fingerprints are cut again, exactly: the 42 bits
 outside the segment that agrees form six blocks of seven, two errors touch at most two,
 so the pair agrees in some four of the six blocks; under that key at most 2**14 distinct
-fingerprints can exist. Each group yields a spanning forest of its verified links, never
+fingerprints can exist, or 2**15 beside a segment of 21 bits, whose 43 other bits have one block of eight. Each group yields a spanning forest of its verified links, never
 all its pairs.
 """
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.components import components
 from gapweave.llm.kernels import U64, trimmed
-from gapweave.llm.shared import materialise
+from gapweave.llm.shared import discard, join_counted, materialise
 
 #: Generator polynomial of the (23, 12) Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
 GOLAY_POLYNOMIAL = 0b110001110101
@@ -96,11 +96,11 @@ def _segment(fp: np.ndarray, s: int) -> np.ndarray:
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(fp, rep) to (key, fp, rep), one row for each different key."""
+    """(fp) to (key, fp), one row for each different key."""
     for batch in batches:
-        fp, rep = batch.column(0).to_numpy().view(U64), batch.column(1).to_numpy()
+        fp = batch.column(0).to_numpy().view(U64)
         for a in range(0, len(fp), 1 << 13):
-            part, ids = fp[a : a + (1 << 13)], rep[a : a + (1 << 13)]
+            part = fp[a : a + (1 << 13)]
             segments = [_segment(part, s) for s in range(3)]
             for s in range(3):
                 fuzzy = np.sort(fuzzy_keys(segments[(s + 1) % 3], SEGMENTS[(s + 1) % 3][1]), axis=1)
@@ -108,7 +108,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 new[:, 1:] = fuzzy[:, 1:] != fuzzy[:, :-1]
                 row = np.nonzero(new)[0]
                 key = (np.int64(s) << 40) | (segments[s][row] << 12) | fuzzy[new]
-                yield pa.record_batch([pa.array(key), pa.array(part[row].view(np.int64)), pa.array(ids[row])], ["key", "fp", "rep"])
+                yield pa.record_batch([pa.array(key), pa.array(part[row].view(np.int64))], ["key", "fp"])
 
 
 _BLOCK_SETS = list(combinations(range(6), 4))
@@ -117,26 +117,27 @@ _BLOCK_SETS = list(combinations(range(6), 4))
 def _narrow_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of hot keys to 15 narrower keys each: the agreeing segment and four of the six 7-bit blocks outside it."""
     for batch in batches:
-        key, fp, rep = (batch.column(i).to_numpy() for i in range(3))
+        key, fp = (batch.column(i).to_numpy() for i in range(2))
         which, bits = key >> 40, fp.view(U64)
         for s, (at, width) in enumerate(SEGMENTS):
             own = which == s
             if not own.any():
                 continue
-            part, ids = bits[own], rep[own]
+            part = bits[own]
             same = U64(((1 << width) - 1) << at)
             places = [b for b in range(64) if not at <= b < at + width]
             places = [places[i * len(places) // 6 : (i + 1) * len(places) // 6] for i in range(6)]
             for c, chosen in enumerate(_BLOCK_SETS):
                 mask = same | U64(sum(1 << b for i in chosen for b in places[i]))
                 tag = np.full(len(part), s * len(_BLOCK_SETS) + c, np.int32)
-                yield pa.record_batch([pa.array(tag), pa.array((part & mask).view(np.int64)), pa.array(part.view(np.int64)), pa.array(ids)], ["tag", "key", "fp", "rep"])
+                yield pa.record_batch([pa.array(tag), pa.array((part & mask).view(np.int64)), pa.array(part.view(np.int64))], ["tag", "key", "fp"])
 
 
-def forest(fp: np.ndarray, ids: np.ndarray, most: int = MAX_BITS) -> list[tuple[int, int]]:
-    """A spanning forest of the links (distance <= most) among the fingerprints of one group."""
+def forest(fp: np.ndarray, most: int = MAX_BITS) -> list[tuple[int, int]]:
+    """A spanning forest of the links (distance <= most) among the fingerprints of one group, as signed numbers."""
+    names = fp.view(np.int64)
     if len(fp) == 2:
-        return [(int(ids[0]), int(ids[1]))] if int(fp[0] ^ fp[1]).bit_count() <= most else []
+        return [(int(names[0]), int(names[1]))] if int(fp[0] ^ fp[1]).bit_count() <= most else []
     parent = list(range(len(fp)))
     out = []
     for i in range(len(fp) - 1):
@@ -148,55 +149,74 @@ def forest(fp: np.ndarray, ids: np.ndarray, most: int = MAX_BITS) -> list[tuple[
                 parent[y] = y = parent[parent[y]]
             if x != y:
                 parent[y] = x
-                out.append((int(ids[i]), int(ids[j])))
+                out.append((int(names[i]), int(names[j])))
     return out
 
 
 def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Groups (fps, reps) of a common key to verified links (u, v)."""
+    """Fingerprints of a common key to verified links (u, v)."""
     for batch in batches:
         found: list[tuple[int, int]] = []
         for at in range(batch.num_rows):
-            group = batch.column(0)[at].values
-            found += forest(group.field(0).to_numpy().view(U64), group.field(1).to_numpy())
+            found += forest(batch.column(0)[at].values.to_numpy().view(U64))
         if found:
             u, v = zip(*found)
             yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) of whole texts; a null text counts as empty."""
+def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, carry: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, carry) of whole texts; a null text counts as empty."""
+    schema = docs.select(F.col("doc_id").cast("long"), F.lit(0).cast("long").alias("fp"), *carry).schema
 
     def run(batches):
         for batch in batches:
             text = batch.column(1)
             fps = np.array([simhash(t.as_buffer().to_pybytes() if t.is_valid else b"", shingle, seed) for t in text], dtype=U64)
-            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.record_batch([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], schema.names)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", *carry).mapInArrow(trimmed(run), schema)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, hot: int = HOT) -> DataFrame:
+#: Fingerprints of one task that makes their keys.
+TASK_NODES = 20_000
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, hot: int = HOT, carry: tuple[str, ...] = ()) -> DataFrame:
     """Components of documents linked at 2 or fewer differing fingerprint bits.
 
-    Columns read: doc_id, text; others are ignored. Returns one row per input row:
-    doc_id, fp (long), component_id (smallest doc_id reachable, itself included).
-    Empty and null texts have fingerprint zero and link like any other; equal texts link
-    at distance 0; rows that repeat a doc_id stay as often as they come. Rows with a null
-    doc_id get a fingerprint; their component is the smallest doc_id of equal or linked
-    fingerprints, or null if there is none. An empty table gives an empty table.
+    Columns read: doc_id, text, and those named in carry, which come back; others are ignored. Returns one row per input
+    row: doc_id, fp (long), component_id (smallest doc_id reachable, itself included), component (a number that the
+    rows of a component, and they alone, have), carry. Empty and null texts have fingerprint zero and link like any other; equal texts
+    link at distance 0. Links are between rows: rows that repeat a doc_id stay as often as they come, and those with
+    different texts are in one component only if linked. Rows with a null doc_id link like others; their component_id
+    is null if no row of the component has a doc_id. An empty table gives an empty table.
     """
-    marked = materialise(fingerprints(docs, shingle, seed), "fingerprints")
-    nodes = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-nodes")
-    keys = nodes.filter("rep is not null").select("fp", "rep").mapInArrow(trimmed(_keys), "key long, fp long, rep long")
+    marked = materialise(fingerprints(docs, shingle, seed, carry), "fingerprints")
+    nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
+    n_rows = marked.count()
+    nodes = materialise(nodes.repartition(max(1, n_rows // TASK_NODES), "fp"), "fingerprint-nodes")
+    keys = nodes.select("fp").mapInArrow(trimmed(_keys), "key long, fp long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     met = materialise(keys.join(shared, "key"), "fingerprint-keys")
-    group = F.collect_list(F.struct("fp", "rep")).alias("members")
+    group = F.collect_list("fp").alias("members")
     cold = met.filter(F.col("n") <= hot).groupBy("key").agg(group).select("members")
-    narrow = met.filter(F.col("n") > hot).select("key", "fp", "rep").mapInArrow(_narrow_keys, "tag int, key long, fp long, rep long")
+    narrow = met.filter(F.col("n") > hot).select("key", "fp").mapInArrow(_narrow_keys, "tag int, key long, fp long")
     # a fingerprint that comes under several hot keys of one segment would repeat here
     narrow = narrow.distinct().groupBy("tag", "key").agg(group).filter(F.size("members") > 1).select("members")
     edges = cold.unionAll(narrow).mapInArrow(trimmed(_links), "u long, v long")
     found = components(edges)
-    named = nodes.join(found, nodes["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    return marked.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", "rows", F.coalesce("component", "fp").alias("component"), F.col("node").isNotNull().alias("linked"))
+    named = materialise(named, "fingerprint-components")
+    discard(met)
+    alone = named.filter("not linked").select("fp", "component", F.col("least").alias("component_id"), "rows")
+    linked = named.filter("linked")
+    smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = alone.union(linked.join(smallest, "component").select("fp", "component", "component_id", "rows"))
+    return join_counted(marked, named, "fp", "rows", n_rows).select("doc_id", "fp", "component_id", "component", *carry)
+
+
+def kept_rows(found: DataFrame, row: tuple[str, ...]) -> DataFrame:
+    """Of the rows of near_duplicates(carry=row) one of each component: that of the smallest doc_id, and of these the first
+    by row, whose values no two rows share. Rows with a null doc_id come last."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *row)).alias("first")
+    return found.groupBy("component").agg(first).select(*(F.col(f"first.{c}").alias(c) for c in row))

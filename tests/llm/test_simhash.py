@@ -3,7 +3,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from gapweave.llm import queries, simhash
+from gapweave.llm import queries, shared, simhash
 from gapweave.llm.components import components
 from gapweave.llm.shared import table
 from tests.llm.cases import documents
@@ -60,7 +60,7 @@ def links_of(spark, fps, hot, monkeypatch):
     frame = spark.createDataFrame([(i, str(i)) for i in range(len(fps))], "doc_id long, text string")
     values = [int(f) for f in fps]
 
-    def given(docs, *_):
+    def given(docs, *_, **__):
         def run(batches):
             for b in batches:
                 got = np.array([values[int(t)] for t in b.column(1).to_pylist()], np.uint64)
@@ -92,7 +92,23 @@ def test_awkward_rows(spark):
     assert by[3] == by[4] == by[5] == 3
     assert by[6] == by[7] == 6
     assert by[10] == 10
+    assert {r["component_id"] for r in got if r["doc_id"] is None} == {3, 10}
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+    none = documents(spark, [(None, "a"), (None, "a"), (None, "b c d")])
+    assert {r["component_id"] for r in simhash.near_duplicates(none).collect()} == {None}
+
+
+def test_rows_that_repeat_a_doc_id_are_rows_of_their_own(spark, monkeypatch):
+    texts = [" ".join(f"{c}{i}" for i in range(60)) for c in "xyz"]
+    docs = documents(spark, [(1, texts[0]), (5, texts[0]), (5, texts[1]), (5, texts[1]), (None, texts[2]), (None, texts[2])])
+    for most in (10_000, 1):
+        monkeypatch.setattr(shared, "HOT_ROWS", most)
+        found = shared.materialise(simhash.near_duplicates(docs.withColumn("place", F.monotonically_increasing_id()), carry=("place",)), "found")
+        got = found.collect()
+        assert sorted(str((r["doc_id"], r["component_id"])) for r in got) == sorted(map(str, [(1, 1), (5, 1), (5, 5), (5, 5), (None, None), (None, None)]))
+        assert len({r["component"] for r in got}) == 3
+        kept = {r["place"] for r in simhash.kept_rows(found, ("place",)).collect()}
+        assert sorted(str(r["doc_id"]) for r in got if r["place"] in kept) == ["1", "5", "None"]
 
 
 def test_long_chain_of_components(spark):
