@@ -1,41 +1,46 @@
 """A corpus cleaned, deduplicated, redacted and packed, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before it kept; all but
-the last return the columns of documents. Decisions go by doc_id: rows that repeat one share its
-decision, and rows with a null doc_id stay, as nothing names them. Null and empty texts go in the
+the last return the columns of documents. Decisions go by row: of rows that repeat a doc_id each has its own, and of rows
+that repeat doc_id and text the first stage of the two deduplications keeps one. Rows with a null doc_id are
+rows like others; beside equal or near texts with a doc_id they go. Null and empty texts go in the
 first stage, having no language. An empty table passes through all stages.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from gapweave.llm import langid, shared
 from gapweave.llm.exactdedup import exact_duplicates
 from gapweave.llm.packing import packed_pieces
 from gapweave.llm.pii import redact_documents
-from gapweave.llm.simhash import near_duplicates
+from gapweave.llm.simhash import kept_rows, near_duplicates
 
 #: SQL has no form for the stages; tests compare run() with a brute-force version.
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the corpus declares; those rejected by the fused evidence go."""
-    rows = langid.of_documents(shared.tune(docs))
-    judged = langid.identify(rows, langid.fit(rows, langid.sample(rows)))
-    return shared.without(docs, judged.filter("rejected").select(F.col("id").alias("doc_id")))
+    """Documents in a language that the corpus declares. Rejected ones go: those without a letter, those that no
+    language's model explains better than chance (other languages, codes, junk), and those without a clear language."""
+    docs = shared.numbered(shared.tune(docs))
+    rows = langid.of_documents(docs, shared.ROW)
+    judged = langid.identify(rows, langid.fit(rows, langid.sample(rows)), shared.ROW)
+    return shared.without(docs, judged.filter("rejected"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that of the smallest doc_id."""
-    return shared.without(docs, exact_duplicates(shared.tune(docs)).filter("not kept"))
+    docs = shared.numbered(shared.tune(docs))
+    return shared.without(docs, exact_duplicates(docs, carry=shared.ROW).filter("not kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, that of the smallest doc_id."""
-    return shared.without(docs, near_duplicates(shared.tune(docs)).filter("doc_id <> component_id"))
+    docs = shared.numbered(shared.tune(docs))
+    found = shared.materialise(near_duplicates(docs, carry=shared.ROW), "near-duplicates")
+    return shared.without(docs, found.join(kept_rows(found, shared.ROW), list(shared.ROW), "left_anti"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
