@@ -28,6 +28,9 @@ GRAM = 3
 BITS = 16
 #: Bound of the labelled sample for each language; every declared language has a model.
 SAMPLE_ROWS = 2_000
+#: Sampled rows that an n-gram must occur in to count for a language that has at least so many: what one row alone has, a text in
+#: another language that is declared wrongly, say, teaches nothing.
+MIN_ROWS, MIN_SAMPLE = 2, 20
 #: Languages whose n-gram table is dense at a time (32 MB).
 GROUP = 64
 #: Weight of the text: neighbouring n-grams overlap, so their evidence counts less than in full.
@@ -37,10 +40,11 @@ HOST_WEIGHT, DOMAIN_WEIGHT, OTHER_WEIGHT = 10.0, 20.0, 1.0
 #: A row is rejected if its best language has a smaller posterior, or if random bytes explain its text better: the mean
 #: log-likelihood ratio of its n-grams, with FIT_SHRINK more that count 0, so that a few odd ones do not decide.
 MIN_POSTERIOR = 0.5
-MIN_FIT, FIT_SHRINK = -1.0, 32
+MIN_FIT, FIT_SHRINK = -0.5, 32
 
-_HIDDEN = re.compile(r"<(script|style)\b.*?</\1\s*>|<!--.*?-->", re.S | re.I)
-_TAG = re.compile(r"<[^>]*>")
+_OPEN = re.compile(r"<(?:(!--)|(script|style)(?![\w-])|)", re.I)
+#: What ends each kind of markup.
+_CLOSE = {"!--": re.compile("-->"), "script": re.compile(r"</script\s*>", re.I), "style": re.compile(r"</style\s*>", re.I), "": re.compile(">")}
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _LETTER = np.zeros(256, bool)
@@ -124,7 +128,8 @@ def sample(rows: DataFrame, most: int = SAMPLE_ROWS) -> dict[str, list[int]]:
 
 
 def fit(rows: DataFrame, ids: dict[str, list[int]]) -> TextModel:
-    """Count the n-grams of the sampled rows, whole texts, in one pass without a shuffle of texts."""
+    """Count the n-grams of the sampled rows, whole texts, in one pass without a shuffle of texts. The driver gets counts of
+    n-grams, whose number the sample bounds."""
     languages, size = sorted(ids), 1 << BITS
     if not languages:
         return TextModel([], [], [], [])
@@ -143,19 +148,27 @@ def fit(rows: DataFrame, ids: dict[str, list[int]]) -> TextModel:
         for a, b in blocks(offsets):
             part = offsets[a : b + 1] - offsets[a]
             grams, good = _grams(data[offsets[a] : offsets[b]], part)
-            label = np.repeat(kind[a:b], np.diff(part))[: len(grams)]
-            yield (label * size + grams)[good]
+            label = (np.repeat(kind[a:b], np.diff(part))[: len(grams)] * size + grams)[good]
+            yield label
+            row = np.repeat(np.arange(b - a), np.diff(part))[: len(grams)][good]
+            yield size * len(languages) + np.unique(row * (size * len(languages)) + label) % (size * len(languages))
 
     seen: list[list[np.ndarray]] = [[] for _ in languages]
     counts: list[list[np.ndarray]] = [[] for _ in languages]
-    for at, part in summed_slices(rows.select("id", "text"), size * len(languages), keys):
+    in_rows: list[list[np.ndarray]] = [[] for _ in languages]
+    parts = dict(summed_slices(rows.select("id", "text"), 2 * size * len(languages), keys))
+    for at in sorted(a for a in parts if a * SLICE < size * len(languages)):
         k, first = divmod(at * SLICE, size)
-        there = np.flatnonzero(part)
+        there = np.flatnonzero(parts[at])
         seen[k].append((there + first).astype(np.int32))
-        counts[k].append(part[there])
+        counts[k].append(parts[at][there])
+        in_rows[k].append(parts[at + size * len(languages) // SLICE][there])
     grams, values, unseen = [], [], []
-    for own, n in zip(seen, counts):
+    for name, own, n, rows_ in zip(languages, seen, counts, in_rows):
         own, n = np.concatenate([np.zeros(0, np.int32), *own]), np.concatenate([np.zeros(0, np.int64), *n])
+        if own.size and len(ids[name]) >= MIN_SAMPLE:
+            known = np.concatenate(rows_) >= MIN_ROWS
+            own, n = own[known], n[known]
         dense = np.full(size, 0.05)
         dense[own] += n
         total = dense.sum()
@@ -272,21 +285,46 @@ def of_documents(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
 
 
 def of_pages(pages: DataFrame) -> DataFrame:
-    """pages as evidence: html as it is, for without_markup(), the html element's lang, and the address."""
+    """pages as evidence: html as it is, for without_markup(), the lang of its first html element, and the address. Rows with a
+    null html or url have no text, declaration, or host."""
     host = F.lower(F.regexp_extract("url", r"://([^/?#]*)", 1))
     domain = F.regexp_extract("host", r"([^.]+\.[^.]+)$", 1)
-    head = F.lower(F.regexp_extract("html", r"(?i)<html\b[^>]*\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    at = F.regexp_instr("html", F.lit(r"(?i)<html\b"))
+    element = F.when(at > 0, F.substring_index(F.substr("html", at), ">", 1)).otherwise("")
+    head = F.lower(F.regexp_extract(element, r"(?i)\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
     blank = lambda c: F.when(c != "", c)
     rows = pages.select(F.col("page_id").cast("long").alias("id"), "html", blank(head).alias("declared"), blank(host).alias("host"))
     return rows.select("id", F.col("html").alias("text"), "declared", "host", F.coalesce(blank(domain), "host").alias("domain"), blank(F.regexp_extract("host", r"\.([^.]+)$", 1)).alias("suffix"))
 
 
+def text_of(html: str) -> str:
+    """The text between tags; each tag, comment, script and style becomes a blank. One scan from left to right:
+    a kind of markup whose end is not found once has none further on either, so the time grows with the text."""
+    out, at, endless = [], 0, set()
+    for m in iter(lambda: _OPEN.search(html, at), None):
+        out.append(html[at : m.start()])
+        for kind in ((m[1] or m[2] or "").lower(), ""):  # a comment or script without an end is an ordinary tag
+            if kind not in endless:
+                if end := _CLOSE[kind].search(html, m.end() if kind else m.start()):
+                    break
+                endless.add(kind)
+        else:
+            end = None
+        if end is None:  # no tag ends any more
+            out.append(html[m.start() :])
+            at = len(html)
+            break
+        out.append(" ")
+        at = end.end()
+    return "".join([*out, html[at:]])
+
+
 def without_markup(rows: DataFrame) -> DataFrame:
     """rows with the text between the tags of their html; scripts, styles and comments go."""
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text = [h and _TAG.sub(" ", _HIDDEN.sub(" ", h)) for h in batch.column(1).to_pylist()]
+            text = [h and text_of(h) for h in batch.column(1).to_pylist()]
             yield pa.record_batch([batch.column(0), pa.array(text, pa.string()), *batch.columns[2:]], ["id", "text", "declared", "host", "domain", "suffix"])
 
     return rows.select("id", "text", "declared", "host", "domain", "suffix").mapInArrow(trimmed(strip), "id long, text string, declared string, host string, domain string, suffix string")

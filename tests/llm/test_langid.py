@@ -1,11 +1,15 @@
 import math
-from collections import defaultdict
+import random
+import time
+from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from gapweave.llm import langid, queries
+import corpus_pipeline
+from gapweave.llm import langid, queries, shared
 from gapweave.llm.kernels import utf8
 from gapweave.llm.shared import table
 from tests.llm.cases import ROWS, documents
@@ -120,3 +124,166 @@ def test_sample_is_of_smallest_hash_with_repeats(spark):
     for most in (1, 7, 50, 100_000):
         want = {d: sorted({r["id"] for r in sorted((r for r in hashed if r["declared"] == d), key=lambda r: (r["h"], r["id"]))[:most]}) for d in "abc"}
         assert langid.sample(frame, most) == want
+
+
+def test_markup():
+    for html, text in [
+        ("a<b>c</b>d", "a c d"), ("<!-- x <b> -->y", " y"), ("<script>if (a<b) x</script>y<style>p{}</style >z", " y z"), ("<SCRIPT src=1>x</Script>y", " y"),
+        ("a<!-- b <i>c</i>", "a c "), ("a<script>b<i>c", "a b c"), ("a < b", "a < b"), ("a<b", "a<b"), ("<scripts>a</scripts>", " a "), ("", ""), ("<style-x>a", " a"), ("x<><y>z", "x  z"),
+    ]:
+        assert langid.text_of(html) == text, html
+
+
+def test_markup_takes_linear_time():
+    for part in ("<!--", "<script ", "<style>", "<script>", "</script", "<", "<html ", "<!-- x --", "<script></script  "):
+        began = time.time()
+        langid.text_of(part * (1_000_000 // len(part)))
+        assert time.time() - began < 1, part
+
+
+def test_declarations_of_odd_pages(spark):
+    pages = [(1, "http://a.b.de/x", "<p><html lang=fr><html lang=de>"), (2, None, None), (3, "x", "<html "), (4, "http://c", "<HTML class=x LANG = 'EN-us'>x"), (5, "https://h.com", "<html " * 100_000), (6, "http://a.b.de", "<html><p lang=en>"), (None, "http://a.b.de", "<!--" * 100_000)]
+    rows = langid.of_pages(spark.createDataFrame([(*p, "d", "t") for p in pages], "page_id long, url string, html string, declared string, text string"))
+    began = time.time()
+    got = {r["id"]: r for r in langid.without_markup(rows).collect()}
+    assert time.time() - began < 30 and len(got) == len(pages)
+    assert {i: r["declared"] for i, r in got.items()} == {1: "fr", 2: None, 3: None, 4: "en", 5: None, 6: None, None: None}
+    assert (got[1]["host"], got[1]["domain"], got[1]["suffix"], got[2]["text"], got[2]["host"], got[3]["host"]) == ("a.b.de", "b.de", "de", None, None, None)
+    model = langid.fit(langid.without_markup(rows), langid.sample(rows))
+    assert langid.identify(langid.without_markup(rows), model).count() == len(pages)
+    assert langid.identify(langid.without_markup(rows.limit(0)), model).count() == 0
+
+
+class Text(HTMLParser):
+    """Text of a well-formed page, by another parser."""
+
+    def __init__(self, html):
+        super().__init__(convert_charrefs=False)
+        self.out, self.hidden = [], False
+        self.feed(html)
+        self.close()
+
+    def handle_starttag(self, tag, attrs):
+        self.hidden = tag in ("script", "style")
+        self.out += [] if self.hidden else [" "]
+
+    def handle_endtag(self, tag):
+        self.hidden = False
+        self.out.append(" ")
+
+    def handle_data(self, data):
+        self.out += [] if self.hidden else [data]
+
+    def handle_comment(self, data):
+        self.out.append(" ")
+
+    handle_decl = handle_pi = handle_comment
+
+    def handle_entityref(self, name):
+        self.out.append(f"&{name};")
+
+    def handle_charref(self, name):
+        self.out.append(f"&#{name};")
+
+
+def brute_query(pages):
+    """The whole query by loops over rows and dictionaries."""
+    spoken = {9, 10, 32, *range(65, 91), *range(97, 123), *range(128, 256)}
+    rows = []
+    for page_id, url, html in pages:
+        text = "".join(Text(html).out).encode()
+        low = bytes(b + 32 if 65 <= b <= 90 else b for b in text)
+        grams = [(int.from_bytes(low[i : i + 3], "big") * 0x9E3779B1 % (1 << 32)) >> 16 for i in range(len(low) - 2) if all(b in spoken for b in text[i : i + 3])]
+        host = url.split("://")[1].split("/")[0].lower()
+        declared = html.split('lang="')[1].split('"')[0].lower()
+        rows.append((page_id, declared, host, ".".join(host.split(".")[-2:]), host.split(".")[-1], grams, any(b in spoken - {9, 10, 32} for b in text)))
+    names = sorted({r[1] for r in rows})
+    tables = []
+    for name in names:
+        own = [r[5] for r in rows if r[1] == name]
+        in_rows = Counter(g for grams in own for g in set(grams))
+        count = Counter(g for grams in own for g in grams if len(own) < 20 or in_rows[g] > 1)
+        total = sum(count.values()) + 0.05 * (1 << 16)
+        tables.append((count, total))
+    scores = [[round(sum(math.log(((c[g] or 0.05) if g not in c else c[g] + 0.05) / t) + math.log(1 << 16) for g in r[5]), 6) for c, t in tables] for r in rows]
+    soft = []
+    for s in scores:
+        odds = [math.exp(0.5 * (x - max(s))) for x in s]
+        soft.append([round(o / sum(odds), 6) for o in odds])
+    corpus = [1 + sum(x[k] for x, r in zip(soft, rows) if r[5]) for k in range(len(names))]
+    share = [c / sum(corpus) for c in corpus]
+
+    def sums(*at):
+        out = defaultdict(lambda: [0.0] * len(names))
+        for r, x in zip(rows, soft):
+            if r[5]:
+                key = tuple(r[i] for i in at)
+                out[key] = [a + b for a, b in zip(out[key], x)]
+        return out
+
+    declared, hosts, domains, suffixes = sums(1), sums(2, 3), sums(3), sums(4)
+    out = {}
+    for r, s in zip(rows, scores):
+        logs = []
+        for k in range(len(names)):
+            log = 0.5 * s[k]
+            if (r[2], r[3]) in hosts:
+                own, above = hosts[r[2], r[3]], domains[r[3],]
+                up = (above[k] + 20 * share[k]) / (sum(above) + 20)
+                log += math.log((own[k] + 10 * up) / (sum(own) + 10))
+            else:
+                log += math.log(share[k])
+            for table_, at in ((declared, 1), (suffixes, 4)):
+                if (r[at],) in table_:
+                    log += math.log((table_[r[at],][k] + share[k]) / corpus[k])
+            logs.append(log)
+        odds = [math.exp(x - max(logs)) for x in logs]
+        best = max(range(len(names)), key=lambda k: (logs[k], -k))
+        fit = s[best] / (len(r[5]) + 32)
+        top = max(odds) / sum(odds)
+        out[r[0]] = (r[1], r[2], names[best], top, fit, not r[6] or top < 0.5 or fit < -0.5)
+    return out
+
+
+def test_query_equals_brute_force(spark, sf_dir):
+    pages = [(r["page_id"], r["url"], r["html"]) for r in table(spark, sf_dir, "pages").collect()]
+    want = brute_query(pages)
+    got = queries.QUERIES["op5_evidence_fusion"](spark, sf_dir).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        declared, host, lang, top, fit, rejected = want[r["page_id"]]
+        assert (r["declared"], r["host"], r["lang"], r["rejected"]) == (declared, host, lang, rejected)
+        assert abs(r["posterior"] - top) < 1e-5 and abs(r["fit"] - fit) < 1e-5
+
+
+#: Public text (the first article of the Universal Declaration of Human Rights) in languages that the corpus does not declare.
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα. Είναι προικισμένοι με λογική και συνείδηση.",
+    "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+    "Watu wote wamezaliwa huru, hadhi na haki zao ni sawa. Wote wamejaliwa akili na dhamiri, hivyo yapasa watendeane kindugu.",
+    "Minden emberi lény szabadon születik és egyenlő méltósága és joga van. Az emberek, ésszel és lelkiismerettel bírván, egymással szemben testvéri szellemben kell hogy viseltessenek.",
+]
+NATIVE = [
+    "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood.",
+    "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und sollen einander im Geist der Brüderlichkeit begegnen.",
+]
+
+
+def test_the_stage_drops_other_languages_and_junk_and_leaves_clean_documents(spark, sf_dir):
+    rng = random.Random(3)
+    letters = lambda of, n: "".join(rng.choice(of) for _ in range(n))
+    junk = [letters("abcdefghijklmnopqrstuvwxyz ", 300), letters("bcdfghjklmnpqrstvwxz ", 200), " ".join(letters("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 76) for _ in range(6))]
+    junk += [" ".join(letters("0123456789abcdef", 40) for _ in range(30)), letters("0123456789 .,;-", 300), "$$$ ### 123", "", None]
+    texts = [*FOREIGN, *junk]
+    docs = table(spark, sf_dir.replace("0.001", "0.01"), "documents")
+    added = [(1_000_000 + i, t, rng.choice(["en", "de", "fr", "es", None]), f"src{i % 20}", len(t or "")) for i, t in enumerate(texts)]
+    added += [(2_000_000 + i, t, "en", "src1", len(t)) for i, t in enumerate(NATIVE)]
+    mixed = docs.unionByName(spark.createDataFrame(added, docs.schema))
+    kept = {r["doc_id"] for r in corpus_pipeline.language(spark, shared.materialise(mixed, "mixed"), sf_dir).select("doc_id").collect()}
+    assert not [i for i in kept if 1_000_000 <= i < 2_000_000]
+    assert {2_000_000, 2_000_001} <= kept
+    assert sum(i < 1_000_000 for i in kept) >= 0.998 * docs.count()
