@@ -4,7 +4,8 @@ Code points become classes through one array; a six-state machine over the class
 as a scan of transition functions (composed row by row for all entry states, then across
 rows by doubling, then replayed), and token bounds follow from the state before a code
 point and its neighbours. No regular expression is run. The slices between bounds feed
-pair merging, whose results are cached per slice.
+pair merging, whose results are cached per slice. The bounds are retained, as byte offsets, with the number of the first id of
+each slice: decoding puts the bytes of each slice's ids at its offset, so any slices can be decoded alone.
 
 The bounds are those of public_tokenizers.PATTERN: contractions 's 't 're 've 'm 'll 'd;
 runs of letters, of digits, or of other symbols, each with one optional space before;
@@ -192,8 +193,9 @@ class Merges(dict):
         return found
 
 
-def encode_block(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray, merges: Merges) -> tuple[list[bytes], list[np.ndarray]]:
-    """For each document its ids (packed) and the byte offsets at which its pre-tokens start."""
+def encode_block(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray, merges: Merges) -> tuple[list[bytes], list[np.ndarray], list[np.ndarray]]:
+    """For each document its ids (packed), the byte offsets at which its pre-tokens start, and the number of the first
+    id of each."""
     raw = data.tobytes()
     points = np.frombuffer(raw.decode("utf-8").encode("utf-32-le"), "<u4")
     at = np.flatnonzero((data & 0xC0) != 0x80)
@@ -203,8 +205,9 @@ def encode_block(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray, mer
     cuts = at[token_starts(points, heads, classes)]
     bounds = np.append(cuts, len(data)).tolist()
     ids = list(map(merges.__getitem__, [raw[a:b] for a, b in zip(bounds, bounds[1:])]))
+    place = np.concatenate([[0], np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)) // 4)])
     of = np.searchsorted(cuts, offsets).tolist()
-    return [b"".join(ids[a:b]) for a, b in zip(of, of[1:])], [cuts[a:b] - s for a, b, s in zip(of, of[1:], offsets.tolist())]
+    return [b"".join(ids[a:b]) for a, b in zip(of, of[1:])], [cuts[a:b] - s for a, b, s in zip(of, of[1:], offsets.tolist())], [place[a:b] - place[a] for a, b in zip(of, of[1:])]
 
 
 class Vocabulary:
@@ -218,10 +221,19 @@ class Vocabulary:
         self.start = np.cumsum(self.size) - self.size
         self.blob = np.frombuffer(b"".join(tokens), np.uint8)
 
-    def decode(self, ids: np.ndarray) -> bytes:
+    def decode(self, ids: np.ndarray, starts: np.ndarray, heads: np.ndarray) -> bytes:
+        """Bytes of the slices that start at the byte offsets `starts`, with ids[heads[i] : heads[i + 1]] in slice i; from
+        the first slice's offset on."""
+        if not len(ids):
+            return b""
         size = self.size[ids]
-        put = np.cumsum(size) - size
-        return self.blob[np.repeat(self.start[ids] - put, size) + np.arange(int(size.sum()))].tobytes()
+        before = np.cumsum(size) - size
+        slice_of = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(ids))))
+        put = starts[slice_of].astype(np.int64) - int(starts[0]) + before - before[heads][slice_of]  # place of each id's bytes
+        out = np.empty(int(put[-1] + size[-1]), np.uint8)
+        within = np.arange(int(size.sum())) - np.repeat(before, size)
+        out[np.repeat(put, size) + within] = self.blob[np.repeat(self.start[ids], size) + within]
+        return out.tobytes()
 
 
 _loaded: dict = {}
@@ -245,8 +257,8 @@ def ship(spark: SparkSession, ranks_path: str):
 
 
 def encode(docs: DataFrame, shipped) -> DataFrame:
-    """(doc_id, ids, starts): token ids of whole texts as packed unsigned 32-bit integers, and the byte
-    offset of each pre-token. Columns read: doc_id, text; a null or empty text has no ids. Rows are
+    """(doc_id, ids, starts, heads): token ids of whole texts, the byte offset of each pre-token, and the number of its first
+    id, all packed as unsigned 32-bit integers. Columns read: doc_id, text; a null or empty text has no ids. Rows are
     independent: ties, repeated or null doc_ids pass through. An empty table gives an empty table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,23 +266,21 @@ def encode(docs: DataFrame, shipped) -> DataFrame:
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             for a, b in blocks(offsets):
-                ids, starts = encode_block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], classes, merges)
-                yield pa.record_batch(
-                    [batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()), pa.array([s.astype("<u4").tobytes() for s in starts], pa.binary())],
-                    ["doc_id", "ids", "starts"],
-                )
+                ids, *marks = encode_block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], classes, merges)
+                marks = [pa.array([s.astype("<u4").tobytes() for s in own], pa.binary()) for own in marks]
+                yield pa.record_batch([batch.column(0).slice(a, b - a), pa.array(ids, pa.binary()), *marks], ["doc_id", "ids", "starts", "heads"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, ids binary, starts binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(trimmed(run), "doc_id long, ids binary, starts binary, heads binary")
 
 
 def decode(encoded: DataFrame, shipped) -> DataFrame:
-    """(doc_id, ids, body): bytes of packed ids."""
+    """(doc_id, ids, body): bytes of the ids that encode() gave, each slice put at the offset retained for it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, _, vocabulary = _worker(shipped)
         for batch in batches:
-            ids = batch.column(1)
-            bodies = [vocabulary.decode(np.frombuffer(x.as_buffer(), "<u4")) if x.is_valid else None for x in ids]
-            yield pa.record_batch([batch.column(0), ids, pa.array(bodies, pa.binary())], ["doc_id", "ids", "body"])
+            packed = zip(*(batch.column(i) for i in range(1, 4)))
+            bodies = [vocabulary.decode(*(np.frombuffer(x.as_buffer(), "<u4") for x in row)) if row[0].is_valid else None for row in packed]
+            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(bodies, pa.binary())], ["doc_id", "ids", "body"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(trimmed(run), "doc_id long, ids binary, body binary")
+    return encoded.select("doc_id", "ids", "starts", "heads").mapInArrow(trimmed(run), "doc_id long, ids binary, body binary")

@@ -31,22 +31,26 @@ def encoded(texts, most=1000):
     data, offsets = utf8(pa.array(texts))
     out = []
     for a, b in blocks(offsets, most):
-        out += bpe.encode_block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], CLASSES, MERGES)[0]
+        out += zip(*bpe.encode_block(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], CLASSES, MERGES))
     return out
 
 
 def test_random_texts_as_the_library():
     rng = random.Random(5)
     texts = ["".join(rng.choices(ALPHABET, k=rng.randint(0, 50))) for _ in range(4000)] + ["a" * 3000, "é日" * 900, "ab" * 600 + " " * 50 + "!" * 700, "", " "]
-    for text, ids in zip(texts, encoded(texts)):
+    for text, (ids, starts, heads) in zip(texts, encoded(texts)):
         assert ids == packed(text), text
-        assert VOCABULARY.decode(np.frombuffer(ids, "<u4")) == text.encode()
+        assert VOCABULARY.decode(np.frombuffer(ids, "<u4"), starts, heads) == text.encode()
+        if len(heads) > 2:  # some slices alone, by the offsets retained for them
+            a, b = sorted(rng.sample(range(len(heads)), 2))
+            part = VOCABULARY.decode(np.frombuffer(ids, "<u4")[heads[a] : heads[b]], starts[a:b], heads[a:b] - heads[a])
+            assert part == text.encode()[starts[a] : starts[b]]
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.text(max_size=40), max_size=5))
 def test_any_text_as_the_library(texts):
-    assert encoded(texts, 30) == [packed(t) for t in texts] if texts else True
+    assert [e[0] for e in encoded(texts, 30)] == [packed(t) for t in texts] if texts else True
 
 
 def test_scan_equals_a_loop():
