@@ -36,12 +36,15 @@ def path_template_tree() -> str:
         sql += f""",
     r{i} AS MATERIALIZED (SELECT *, coalesce(shape[{i + 1}], '') AS segment FROM s{i}),
     n{i} AS MATERIALIZED (SELECT host, template, segment, sum(n) AS n, sum(known)::DOUBLE AS known, sum(blocked)::DOUBLE AS blocked FROM r{i} GROUP BY host, template, segment),
-    a{i} AS (SELECT host, template, count(*) AS children, sum(n) AS n_all, sum(known) AS known_all, sum(blocked) AS blocked_all FROM n{i} GROUP BY host, template),
-    b{i} AS (SELECT *, CASE WHEN known_all > 0 THEN blocked_all / known_all ELSE 0 END AS rate FROM n{i} JOIN a{i} USING (host, template)),
-    m{i} AS (SELECT host, template, segment, CASE WHEN segment IN ('', '*', '**') THEN segment
-        WHEN children > {urltree.MAX_CHILDREN} AND n < {urltree.MIN_SHARE} * n_all THEN '*'
-        WHEN children > 1 AND abs(CASE WHEN known > 0 THEN blocked / known ELSE rate END - rate)
-            <= {urltree.SIGNIFICANT} * CASE WHEN known > 0 THEN sqrt(rate * (1 - rate) / known) ELSE 0 END + 1e-9 THEN '~' ELSE segment END AS symbol FROM b{i}),
+    a{i} AS (SELECT host, template, count(*) AS children, sum(n) AS n_all FROM n{i} GROUP BY host, template),
+    b{i} AS MATERIALIZED (SELECT host, template, segment, CASE WHEN segment NOT IN ('', '*', '**') AND children > {urltree.MAX_CHILDREN} AND n < {urltree.MIN_SHARE} * n_all THEN '*' ELSE segment END AS branch,
+        known, blocked FROM n{i} JOIN a{i} USING (host, template)),
+    k{i} AS (SELECT host, template, branch, sum(known) AS k, sum(blocked) AS b FROM b{i} WHERE branch NOT IN ('', '*', '**') GROUP BY host, template, branch HAVING sum(known) > 0),
+    l{i} AS (SELECT *, lag(k) OVER w AS k0, lag(b) OVER w AS b0 FROM k{i} WINDOW w AS (PARTITION BY host, template ORDER BY b / k, branch)),
+    d{i} AS (SELECT *, coalesce(CAST(abs(b / k - b0 / k0) > {urltree.SIGNIFICANT} * sqrt((b + b0) / (k + k0) * (1 - (b + b0) / (k + k0)) * (1 / k + 1 / k0)) + 1e-9 AS INTEGER), 0) AS differs FROM l{i}),
+    e{i} AS (SELECT *, sum(differs) OVER (PARTITION BY host, template ORDER BY b / k, branch ROWS UNBOUNDED PRECEDING) AS kind FROM d{i}),
+    g{i} AS (SELECT host, template, branch, CASE WHEN count(*) OVER w > 1 THEN '#' || min(branch) OVER w ELSE branch END AS merged FROM e{i} WINDOW w AS (PARTITION BY host, template, kind)),
+    m{i} AS (SELECT host, template, segment, coalesce(merged, branch) AS symbol FROM b{i} LEFT JOIN g{i} USING (host, template, branch)),
     s{i + 1} AS MATERIALIZED (SELECT host, shape, n, known, blocked, CASE WHEN symbol = '' THEN template ELSE template || '/' || symbol END AS template
         FROM r{i} JOIN m{i} USING (host, template, segment))"""
     last = f"s{urltree.DEPTH + 1}"

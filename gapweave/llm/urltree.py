@@ -3,8 +3,9 @@
 Paths become shapes: variable-looking segments (numbers, long hexadecimal ids) turn into
 '*' row by row, and equal shapes of a host are counted together. From there the tree of
 each host is built level by level on the counts: below a node with many children, rare
-ones turn into '*'; children whose labelled rate does not differ from that of all their
-siblings merge into '~'. A template is rejected if the smoothed share of its labelled
+ones turn into '*'. The labelled ones of the others, in the order of their blocked rates, are compared branch with
+branch: neighbours whose rates do not differ significantly merge into '#' and the first of their names ('#' is in no path). A
+branch without labels is like no other and stays apart. A template is rejected if the smoothed share of its labelled
 rows that are blocked reaches the limit; smoothing leans on the host, and the host on all rows.
 Every step is an aggregation or a join on counts, so no host is gathered in one task.
 """
@@ -14,6 +15,7 @@ from __future__ import annotations
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gapweave.llm.shared import materialise
@@ -24,7 +26,7 @@ RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org
 DEPTH = 8
 #: A node with more children generalises those that have less than this share of its rows.
 MAX_CHILDREN, MIN_SHARE = 20, 0.05
-#: Standard errors by which a branch's labelled rate must differ to stay apart.
+#: Standard errors by which the labelled rates of two branches must differ for them to stay apart.
 SIGNIFICANT = 1.96
 #: Pseudo-rows of smoothing, and the smoothed blocked share from which a template is rejected.
 SMOOTH, LIMIT = 4.0, 0.8
@@ -60,18 +62,20 @@ def _level(shapes: DataFrame, i: int) -> DataFrame:
     """shapes with segment i generalised and added to the template."""
     rows = shapes.withColumn("segment", F.coalesce(F.get("shape", F.lit(i)), F.lit("")))
     nodes = rows.groupBy("host", "template", "segment").agg(F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("blocked").alias("blocked"))
-    above = nodes.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("n_all"), F.sum("known").alias("known_all"), F.sum("blocked").alias("blocked_all"))
-    nodes = nodes.join(above, ["host", "template"])
-    rate = F.when(F.col("known_all") > 0, F.col("blocked_all") / F.col("known_all")).otherwise(0.0)
-    own = F.when(F.col("known") > 0, F.col("blocked") / F.col("known")).otherwise(rate)
-    error = F.when(F.col("known") > 0, F.sqrt(rate * (1 - rate) / F.col("known"))).otherwise(0.0)
-    symbol = (
-        F.when(F.col("segment").isin("", "*", "**"), F.col("segment"))
-        .when((F.col("children") > MAX_CHILDREN) & (F.col("n") < MIN_SHARE * F.col("n_all")), "*")
-        .when((F.col("children") > 1) & (F.abs(own - rate) <= SIGNIFICANT * error + 1e-9), "~")
-        .otherwise(F.col("segment"))
-    )
-    named = nodes.select("host", "template", "segment", symbol.alias("symbol"))
+    above = nodes.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("n_all"))
+    special = F.col("segment").isin("", "*", "**")
+    branch = F.when(~special & (F.col("children") > MAX_CHILDREN) & (F.col("n") < MIN_SHARE * F.col("n_all")), "*").otherwise(F.col("segment"))
+    nodes = nodes.join(above, ["host", "template"]).select("host", "template", "segment", branch.alias("branch"), "known", "blocked")
+    # what is left below a node: its frequent children, MAX_CHILDREN or 1 / MIN_SHARE at most
+    branches = nodes.filter(~F.col("branch").isin("", "*", "**")).groupBy("host", "template", "branch").agg(F.sum("known").alias("k"), F.sum("blocked").alias("b")).filter("k > 0")
+    order = W.partitionBy("host", "template").orderBy(F.col("b") / F.col("k"), "branch")
+    k, b, k0, b0 = F.col("k"), F.col("b"), F.lag("k").over(order), F.lag("b").over(order)
+    rate = (b + b0) / (k + k0)
+    differs = F.abs(b / k - b0 / k0) > F.lit(SIGNIFICANT) * F.sqrt(rate * (1 - rate) * (1 / k + 1 / k0)) + F.lit(1e-9)
+    branches = branches.withColumn("differs", F.coalesce(differs.cast("int"), F.lit(0))).withColumn("kind", F.sum("differs").over(order.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    alike = W.partitionBy("host", "template", "kind")
+    branches = branches.select("host", "template", "branch", F.when(F.count("*").over(alike) > 1, F.concat(F.lit("#"), F.min("branch").over(alike))).otherwise(F.col("branch")).alias("merged"))
+    named = nodes.join(branches, ["host", "template", "branch"], "left").select("host", "template", "segment", F.coalesce("merged", "branch").alias("symbol"))
     grown = F.when(F.col("symbol") == "", F.col("template")).otherwise(F.concat("template", F.lit("/"), "symbol"))
     return rows.join(named, ["host", "template", "segment"]).select("host", "shape", "n", "known", "blocked", grown.alias("template"))
 
@@ -79,7 +83,8 @@ def _level(shapes: DataFrame, i: int) -> DataFrame:
 def templates(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
     """(host, shape, template, purity) from rows (host, shape, blocked: 1, 0 or null).
 
-    purity is the smoothed share of blocked among the template's labelled rows.
+    purity is the smoothed share of blocked among the template's labelled rows; that of a template without any is its
+    host's.
     """
     shapes = rows.groupBy("host", "shape").agg(F.count("*").alias("n"), F.count("blocked").alias("known"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("blocked"))
     shapes = materialise(shapes.withColumn("template", F.lit("")), "url-shapes")

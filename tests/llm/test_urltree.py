@@ -42,22 +42,33 @@ def brute(rows):
         for (host, seg), c in shapes.items():
             s = seg[i] if i < len(seg) else ""
             nodes[host, template[host, seg], s] = [a + b for a, b in zip(nodes[host, template[host, seg], s], c)]
-        above = defaultdict(lambda: [0, 0, 0, 0])
+        children, total = Counter(), Counter()
         for (host, t, _), c in nodes.items():
-            above[host, t] = [a + b for a, b in zip(above[host, t], [1, *c])]
+            children[host, t] += 1
+            total[host, t] += c[0]
+        branch, below = {}, defaultdict(lambda: defaultdict(lambda: [0, 0]))
+        for (host, t, s), (n, known, blocked) in nodes.items():
+            rare = s not in ("", "*", "**") and children[host, t] > 20 and n < 0.05 * total[host, t]
+            branch[host, t, s] = "*" if rare else s
+            if known and branch[host, t, s] not in ("", "*", "**"):
+                own = below[host, t][s]
+                own[0], own[1] = own[0] + known, own[1] + blocked
+        symbol = {}
+        for (host, t), own in below.items():
+            groups = []
+            for rate, s in sorted((b / k, s) for s, (k, b) in own.items()):
+                if groups:
+                    k, b, k0, b0 = *own[s], *own[groups[-1][-1]]
+                    pooled = (b + b0) / (k + k0)
+                    if abs(rate - b0 / k0) <= 1.96 * math.sqrt(pooled * (1 - pooled) * (1 / k + 1 / k0)) + 1e-9:
+                        groups[-1].append(s)
+                        continue
+                groups.append([s])
+            symbol |= {(host, t, s): "#" + min(g) for g in groups if len(g) > 1 for s in g}
         grown = {}
         for (host, seg), t in template.items():
             s = seg[i] if i < len(seg) else ""
-            n, known, blocked = nodes[host, t, s]
-            children, n_all, known_all, blocked_all = above[host, t]
-            rate = blocked_all / known_all if known_all else 0.0
-            own = blocked / known if known else rate
-            error = math.sqrt(rate * (1 - rate) / known) if known else 0.0
-            if s not in ("", "*", "**"):
-                if children > 20 and n < 0.05 * n_all:
-                    s = "*"
-                elif children > 1 and abs(own - rate) <= 1.96 * error + 1e-9:
-                    s = "~"
+            s = symbol.get((host, t, branch[host, t, s]), branch[host, t, s])
             grown[host, seg] = f"{t}/{s}" if s else t
         template = grown
     base = (sum(c[2] for c in shapes.values()) + 1) / (sum(c[1] for c in shapes.values()) + 2)
@@ -106,3 +117,16 @@ def test_tree_is_as_deep_as_the_rules(spark):
     got = urltree.judge(pages, rules=(("block", stem + "bad/1"), ("allow", stem + "good/1"))).collect()
     assert all((r["verdict"] == "block") == ("/bad/" in r["path"]) for r in got)
     assert len({r["template"] for r in got}) == 2
+
+
+def test_branches_merge_with_branches_and_unlabelled_ones_stay_apart(spark):
+    """Two kinds of branches under one node: each merges with its like, though both differ from the mean of all."""
+    urls = [f"http://a.com/{part}/{i}" for part in ("de", "fr") for i in range(30)]
+    urls += [f"http://a.com/x{j}/{kind}/{i}" for j, kind in enumerate(["good", "bad", "good", "bad"]) for i in range(25)] + ["http://a.com/other/1"] * 12
+    rules = [("block", f"a.com/x{j}/bad") for j in (1, 3)] + [("allow", f"a.com/x{j}/good") for j in (0, 2)] + [("block", "a.com/de/"), ("allow", "a.com/fr/")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["path"].split("/")[1]: r for r in urltree.judge(pages, rules=rules).collect()}
+    first = {name: r["template"].split("/")[1] for name, r in got.items()}
+    assert first["x0"] == first["x2"] == first["fr"] == "#fr" and first["x1"] == first["x3"] == first["de"] == "#de" and first["other"] == "other"
+    assert [got[x]["verdict"] for x in ("x0", "x1", "fr", "de")] == ["allow", "block", "allow", "block"]
+    assert 0.3 < got["other"]["purity"] < 0.7  # its host's
