@@ -106,12 +106,17 @@ _CUES = {
     "secret": {"token", "key", "secret", "password", "passwd", "apikey", "auth", "bearer"},
     "ssn": {"ssn", "social", "security"},
     "iban": {"iban", "account", "bank"},
+    "hash": {"commit", "sha", "md", "checksum", "digest", "hash", "uuid", "guid", "revision", "rev", "blob", "tree", "parent", "merge", "isbn", "doi", "etag", "file", "integrity"},
 }
+#: How keys of well-known services begin; fixed values.
+_MARKED = re.compile(r"(?:AKIA|ASIA|gh[opsu]_|github_pat_|xox[abprs]-|sk[-_]|AIza|glpat-)")
+_ASSIGNED = re.compile(r"(?:[=:]|=>)[ \"'`]*$")
+_UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 _WORD = re.compile(r"[^\W\d_]+")
 _FEATURES = (
     [f"shape_{s}" for s in _SHAPES]
     + [f"cue_{c}" for c in _CUES]
-    + ["bias", "luhn", "quad_valid", "mod97", "hex_mixed", "code_mixed", "code_plain", "joined_left", "joined_right", "dot_left", "dot_right", "digits_lt_9", "digits_9_12", "digits_gt_12", "plus", "paren", "three_groups", "ssn_range"]
+    + ["bias", "luhn", "quad_valid", "mod97", "hex_mixed", "code_mixed", "code_plain", "joined_left", "joined_right", "dot_left", "dot_right", "digits_lt_9", "digits_9_12", "digits_gt_12", "plus", "paren", "three_groups", "ssn_range", "assigned", "marked", "in_path", "uuid", "words"]
 )
 _AT = {f: i for i, f in enumerate(_FEATURES)}
 
@@ -122,7 +127,8 @@ def _features(text: str, a: int, b: int, shapes: frozenset[str]) -> list[int]:
     digits = _NOT_DIGIT.sub("", span)
     letters = sum(c.isalpha() for c in span)
     on = ["bias", *(f"shape_{s}" for s in shapes)]
-    before = {w.lower() for w in _WORD.findall(text[max(0, a - 24) : a])}
+    left = text[max(0, a - 24) : a]
+    before = {w.lower() for w in _WORD.findall(left)}
     on += [f"cue_{c}" for c, words in _CUES.items() if before & words]
     if len(digits) > 11 and not letters and luhn(digits):
         on.append("luhn")
@@ -136,6 +142,17 @@ def _features(text: str, a: int, b: int, shapes: frozenset[str]) -> list[int]:
         on.append("hex_mixed")
     if "code" in shapes:
         on.append("code_mixed" if len(digits) >= 3 and letters >= 3 and len(set(span)) >= 9 else "code_plain")
+        if _MARKED.match(span):
+            on.append("marked")
+        if _UUID.fullmatch(span):
+            on.append("uuid")
+        if len(re.findall(r"[-_/](?=[A-Za-z]{2})|(?<=[a-z])(?=[A-Z][a-z])", span)) >= 2:
+            on.append("words")  # a name put together from words
+    if _ASSIGNED.search(left):
+        on.append("assigned")
+    low = max(0, a - MAX_SEGMENT)
+    if "/" in text[max(text.rfind(" ", low, a), text.rfind("\n", low, a), low - 1) + 1 : a]:
+        on.append("in_path")
     for side, at, c in (("left", a - 1, text[a - 1 : a]), ("right", b, text[b : b + 1])):
         if c.isalnum() or c == "_":
             on.append(f"joined_{side}")
@@ -271,6 +288,11 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, list[tuple[int, int, int]
     digits = lambda k: "".join(rng.choices("0123456789", k=k))
     word = lambda: "".join(rng.choices("abcdefghijklmnoprstuvwéü", k=rng.randint(2, 9)))
 
+    some = lambda of, k: "".join(rng.choices(of, k=k))
+    every = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_"
+    plainword = lambda: some("abcdefghijklmnoprstuvw", rng.randint(3, 8))
+    name = lambda: rng.choice("-_").join(plainword() for _ in range(rng.randint(3, 6))) + rng.choice(["", f"-{digits(2)}", f"_{digits(4)}"])
+
     def card(ok=True):
         body = digits(15)
         last = next(str(d) for d in range(10) if luhn(body + str(d)))
@@ -300,16 +322,20 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, list[tuple[int, int, int]
         1: lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)),
         2: card,
         3: phone,
-        4: lambda: rng.choice([digits, lambda k: "".join(rng.choices("0123456789abcdef", k=k)), lambda k: "".join(rng.choices("0123456789ABCDEF", k=k)), lambda k: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_", k=k))][1:])(rng.choice([24, 32, 40, 48])),
+        4: lambda: rng.choice([some("0123456789abcdef", rng.choice([24, 32, 40, 48, 64])), some("0123456789ABCDEF", rng.choice([24, 32, 40])), some(every, rng.choice([20, 24, 32, 40])), some(every, 32), f"ghp_{some(every, 36)}", f"AKIA{some('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 16)}", f"sk-{some(every, 40)}"]),
         5: lambda: f"{rng.randint(1, 665):03d}-{rng.randint(10, 99)}-{digits(4)}",
         6: iban,
     }
-    cues = {0: ["mail", "contact", ""], 1: ["host", "server", ""], 2: ["card", "visa", ""], 3: ["phone", "call", "tel", ""], 4: ["token =", "key:", "secret =", "password:", "api key ="], 5: ["ssn", "social security", "SSN:"], 6: ["iban", "account", "IBAN:", ""]}
+    cues = {0: ["mail", "contact", ""], 1: ["host", "server", ""], 2: ["card", "visa", ""], 3: ["phone", "call", "tel", ""], 4: ["token =", "key:", "secret =", "password:", "api key =", "auth token", "bearer", "TOKEN ="], 5: ["ssn", "social security", "SSN:"], 6: ["iban", "account", "IBAN:", ""]}
     plain = [
         lambda: card(False), lambda: digits(rng.randint(1, 11)), lambda: f"{rng.randint(1, 9)}.{rng.randint(0, 9)}", lambda: f"{rng.randint(1900, 2030)}-{rng.randint(10, 12)}-{rng.randint(10, 28)}",
         lambda: ".".join(str(rng.randint(256, 999)) for _ in range(4)), lambda: ".".join(str(rng.randint(0, 255)) for _ in range(rng.choice([3, 5, 6]))), lambda: f"{digits(2)}:{digits(2)}:{digits(2)}",
         lambda: f"version {rng.randint(1, 9)}", lambda: f"${digits(3)}.{digits(2)}", lambda: "-".join([word(), word(), digits(1), word()]), lambda: f"@{word()}", lambda: f"{word()}{digits(1)}/{word()}/{word()}", lambda: digits(rng.randint(20, 30)), lambda: iban(False),
         lambda: f"{rng.randint(1, 99)} {digits(3)} {digits(3)}", lambda: f"{digits(3)}-{digits(2)}-{digits(4)}-{digits(2)}",
+        lambda: f"{rng.choice(['commit ', 'sha256:', 'sha256 ', 'md5 ', 'tree ', 'parent ', 'rev ', 'checksum: ', 'digest ', '', '', ''])}{some('0123456789abcdef', rng.choice([32, 40, 40, 64]))}",
+        lambda: f"{rng.choice(['uuid ', 'id ', ''])}{'-'.join(some('0123456789abcdef', k) for k in (8, 4, 4, 4, 12))}",
+        lambda: f"https://{word()}.{rng.choice(['com', 'org'])}/{word()}/{rng.choice([name(), some(every, 24), some('0123456789abcdef', 40)])}{rng.choice(['', '.html', '.png', '/'])}",
+        lambda: f"{rng.choice(['/usr/', 'src/', './'])}{word()}/{name()}.{rng.choice(['py', 'txt', 'jar'])}", lambda: name(), lambda: f"{rng.choice(['key', 'token', 'password'])} {word()}", lambda: f"{rng.choice(['key', 'token'])} = {word()}_{word()}_{word()}_{word()}",
     ]
     for _ in range(n):
         text, gold = " ".join(word() for _ in range(rng.randint(0, 4))), []
@@ -329,7 +355,7 @@ def examples(n: int, seed: int) -> Iterator[tuple[str, list[tuple[int, int, int]
 
 
 @functools.lru_cache
-def trained(n: int = 700, rounds: int = 6, seed: int = 11, decay: float = 1e-4) -> SemiMarkov:
+def trained(n: int = 1500, rounds: int = 6, seed: int = 11, decay: float = 1e-4) -> SemiMarkov:
     """Fit on n generated lines by stochastic gradient steps scaled for each weight; the same on every call."""
     model = SemiMarkov(np.zeros((len(_FEATURES), len(KINDS))), np.zeros((len(KINDS) + 1, len(KINDS) + 1)))
     model.weights[_AT["bias"]] = -1.0
