@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gapweave.functions import configure, time_text, to_time
 from gapweave.operators import Series, drop_events, fill_gaps, gap_census, ml_columns, of_length, purge_after_outages, replace_sentinels, segment, value_only
-from gapweave.operators.segment import after_outage, gaps, outage_ends, purge_by_join
+from gapweave.operators.segment import after_outage, gaps, outage_ends
 from gapweave.operators.select import lengths, of_length_by_join, of_length_by_window
 from gapweave.plans import stats
 from gapweave.schema import CALIBRATION, CARB, EVENT, FILE_COLUMNS, GLUCOSE, HIGH, INSULIN, INTERPOLATED, LOW, SEQUENCE, TS
@@ -167,11 +167,6 @@ def post_calibration_purge(spark, sf_dir):
     return purged(spark, sf_dir).select("event_id", SEQUENCE)
 
 
-@query(_K + "SELECT event_id, sequence_id FROM marked WHERE NOT purged")
-def post_calibration_purge_join(spark, sf_dir):
-    return purge_by_join(segmented(spark, sf_dir), KEYED, P_, H_).select("event_id", SEQUENCE)
-
-
 @query(_K + "SELECT user_id, event_id, sequence_id FROM seg2")
 def resequence_after_purge(spark, sf_dir):
     return resegmented(spark, sf_dir).select("user_id", "event_id", SEQUENCE)

@@ -50,14 +50,26 @@ class Series:
         return df.withColumn(_SPAN, F.date_trunc(self.span, TS)) if self.span else df
 
 
-def balanced(df: DataFrame, series: Series, most: int = WINDOW_ROWS, span: str = "day") -> Series:
+#: Calendar units by which series are cut, the longest first.
+SPANS = ("day", "hour", "minute", "second")
+
+
+def balanced(df: DataFrame, series: Series, most: int = WINDOW_ROWS) -> Series:
     """series as it is, or cut into spans if the largest one has more than `most` rows, which would be one task's
-    window. One small aggregation runs; the rows that come out are the same either way."""
+    window: the longest unit of which no span has more, be it that of a hot key or of one busy day; seconds if none will do.
+    One small aggregation runs, and one more for each unit tried; the rows that come out are the same either way."""
     if series.span:
         return series
-    sizes = df.groupBy(*series.keys).count() if series.keys else df.agg(F.count("*").alias("count"))
-    largest = sizes.agg(F.max("count")).first()[0] or 0
-    return replace(series, span=span) if largest > most else series
+
+    def largest(*by) -> int:
+        sizes = df.groupBy(*by).count() if by else df.agg(F.count("*").alias("count"))
+        return sizes.agg(F.max("count")).first()[0] or 0
+
+    if largest(*series.keys) <= most:
+        return series
+    for unit in SPANS:
+        if unit == SPANS[-1] or largest(*series.keys, F.date_trunc(unit, TS)) <= most:
+            return replace(series, span=unit)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner") -> DataFrame:
@@ -191,14 +203,3 @@ def after_outage(df: DataFrame, series: Series, period_minutes: float, hours: fl
 def purge_after_outages(df: DataFrame, series: Series, period_minutes: float = 165, hours: float = 24) -> DataFrame:
     """Segmented df without the rows after outages. Sequence ids are those from before; segment() again for new ones."""
     return after_outage(df, series, period_minutes, hours).filter(~F.col("purged")).drop("purged")
-
-
-def purge_by_join(df: DataFrame, series: Series, period_minutes: float = 165, hours: float = 24) -> DataFrame:
-    """The same rows by a range anti-join; quadratic in a series, kept to compare."""
-    ends = df.select(*(F.col(k).alias(f"_{k}") for k in series.keys), outage_ends(df, period_minutes).alias("_end")).filter("_end is not null")
-    reach = F.timestamp_add("MICROSECOND", F.lit(int(hours * 3_600_000_000)), F.col("_end")).cast("timestamp_ntz")
-    on = F.col(TS).between(F.col("_end"), reach)
-    for k in series.keys:
-        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    return df.join(ends, on, "left_anti")
-

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -19,12 +19,28 @@ def lengths(df: DataFrame, series: Series) -> DataFrame:
 def of_length(df: DataFrame, series: Series, least: int = 200, fallback: bool = True) -> DataFrame:
     """Rows of sequences with at least so many rows; rows without an id go.
 
-    fallback: if no sequence of the whole table is that long, all rows stay. To know that, one job runs until it
-    meets a long one. Where series are windows already, the count is one more window on the same exchange; else
+    fallback: if no sequence of the whole table is that long, all rows stay. Whether one is, is a subquery of the
+    plan, which runs with it and on the same exchange. Where series are windows already, the count is one more window; else
     counts are aggregated before they meet the rows, so a long sequence is not gathered in one task."""
-    by = of_length_by_window if series.keys and not series.span else of_length_by_join
-    long = by(df, series, least)
-    return df if fallback and long.isEmpty() else long
+    if series.keys and not series.span:
+        sized = _sized(df, series)
+        long = (F.col("_length") >= least) & F.col(SEQUENCE).isNotNull()
+        return sized.filter(long | ~_any(sized.filter(long)) if fallback else long).drop("_length")
+    if not fallback:
+        return of_length_by_join(df, series, least)
+    every = lengths(df, series)
+    long = (F.col("length") >= least) & F.col(SEQUENCE).isNotNull()
+    return join_null_safe(df, every.filter(long | ~_any(every.filter(long))).drop("length"), [*series.keys, SEQUENCE], "left_semi")
+
+
+def _any(df: DataFrame) -> Column:
+    """Whether df has a row, as a column: a subquery of one value. It takes all columns of its row, so that nothing is
+    pruned below it and its exchange is that of the query it stands in."""
+    return df.limit(1).agg(F.max(F.xxhash64(*(F.col(f"`{c}`") for c in df.columns))).isNotNull()).scalar()
+
+
+def _sized(df: DataFrame, series: Series) -> DataFrame:
+    return df.withColumn("_length", F.count("*").over(W.partitionBy(*series.keys, SEQUENCE)))
 
 
 def of_length_by_join(df: DataFrame, series: Series, least: int = 200) -> DataFrame:
@@ -35,8 +51,7 @@ def of_length_by_join(df: DataFrame, series: Series, least: int = 200) -> DataFr
 
 def of_length_by_window(df: DataFrame, series: Series, least: int = 200) -> DataFrame:
     """Rows of long sequences by a windowed count."""
-    size = F.count("*").over(W.partitionBy(*series.keys, SEQUENCE))
-    return df.withColumn("_length", size).filter((F.col("_length") >= least) & F.col(SEQUENCE).isNotNull()).drop("_length")
+    return _sized(df, series).filter((F.col("_length") >= least) & F.col(SEQUENCE).isNotNull()).drop("_length")
 
 
 def value_only(df: DataFrame) -> DataFrame:

@@ -74,9 +74,14 @@ def sequence_lengths(df: DataFrame, series: Series) -> dict:
     return {(tuple(r[k] for k in series.keys) + (r[SEQUENCE],) if series.keys else r[SEQUENCE]): r["length"] for r in rows}
 
 
-def tree(p: Prepared, each_sequence: bool = True) -> dict[str, Any]:
-    """The whole tree. each_sequence brings the length of every sequence to the driver; without it that leaf is empty, and
-    what comes is of bounded size but for the histogram, which has a row for each different length."""
+#: Sequences whose lengths come to the driver unasked.
+MOST_SEQUENCES = 100_000
+
+
+def tree(p: Prepared, each_sequence: bool | None = None) -> dict[str, Any]:
+    """The whole tree. each_sequence brings the length of every sequence to the driver, by default if there are at most
+    MOST_SEQUENCES; else that leaf is empty, and what comes is of bounded size but for the histogram, which has a row for each
+    different length."""
     c, series = p.config, p.series
     raw = dict(p.source.dtypes)[GLUCOSE] == "string" and c.replacement_enabled
     exact = lambda word: F.count_if(F.col(GLUCOSE) == word) if raw else F.lit(0)
@@ -87,15 +92,18 @@ def tree(p: Prepared, each_sequence: bool = True) -> dict[str, Any]:
         hit = F.when(F.col("purged"), F.struct(*series.keys, SEQUENCE))
         outage = _one(p.first, outages=F.count(outage_ends(p.first, c.calibration_period_minutes)), purged=F.count_if("purged"), affected=F.count_distinct(hit))
     found = gap_counts(p.segmented, series).first()
+    counted = _one(lengths(p.segmented, series), all=F.count("*"), several=F.count_if((F.col("length") >= 2) & F.col(SEQUENCE).isNotNull()))
+    several = counted["several"]
+    if each_sequence is None:
+        each_sequence = counted["all"] <= MOST_SEQUENCES
     sizes = sequence_lengths(p.segmented, series) if each_sequence else {}
-    several = lengths(p.segmented, series).filter((F.col("length") >= 2) & F.col(SEQUENCE).isNotNull()).count()
     fills = fill_counts(p.segmented, series, c.expected_interval_minutes, c.small_gap_max_minutes, c.drops_first).first()
-    whole = lengths(p.filled, series).agg(F.count("*").alias("s"), F.coalesce(F.sum("length"), F.lit(0)).alias("r"), F.coalesce(F.max("length"), F.lit(0)).alias("m")).first()
+    long = (F.col("length") >= c.min_sequence_len) & F.col(SEQUENCE).isNotNull()
+    whole = _one(lengths(p.filled, series), s=F.count("*"), r=F.coalesce(F.sum("length"), F.lit(0)), long=F.count_if(long), rows=F.coalesce(F.sum(F.when(long, F.col("length"))), F.lit(0)))
     final = lengths(p.valued, series)
     summary = length_summary(final).first()
     histogram = {r["length"]: r["count"] for r in final.groupBy("length").count().orderBy("length").collect()}
-    kept = lengths(p.kept, series).agg(F.count("*").alias("s"), F.coalesce(F.sum("length"), F.lit(0)).alias("r")).first()
-    fell_back = kept["s"] == whole["s"]
+    kept = whole["rows"] if whole["long"] else whole["r"]  # if no sequence is long enough, all rows stay
     there = set(p.valued.columns)
     text = time_text(TS)
     end = _one(
@@ -130,18 +138,18 @@ def tree(p: Prepared, each_sequence: bool = True) -> dict[str, Any]:
         "calibration_removal_analysis": {"calibration_events_removed": gone, "records_before_removal": before["rows"], "records_after_removal": before["rows"] - gone, "calibration_removal_enabled": c.remove_calibration},
         "filtering_analysis": {
             "original_sequences": whole["s"],
-            "filtered_sequences": whole["s"] if fell_back else kept["s"],
-            "removed_sequences": 0 if fell_back else whole["s"] - kept["s"],
+            "filtered_sequences": whole["long"],
+            "removed_sequences": whole["s"] - whole["long"],
             "original_records": whole["r"],
-            "filtered_records": whole["r"] if fell_back else kept["r"],
-            "removed_records": 0 if fell_back else whole["r"] - kept["r"],
+            "filtered_records": whole["rows"],
+            "removed_records": whole["r"] - whole["rows"] if whole["long"] else 0,
         },
         "replacement_analysis": {"high_replacements": before["high"], "low_replacements": before["low"], "total_replacements": before["high"] + before["low"], "glucose_field_converted_to_float": True},
         "glucose_filtering_analysis": {
-            "original_records": kept["r"],
+            "original_records": kept,
             "glucose_only_enabled": c.glucose_only,
             "records_after_filtering": end["rows"],
-            "records_removed": kept["r"] - end["rows"] if c.glucose_only else 0,
+            "records_removed": kept - end["rows"] if c.glucose_only else 0,
             "fields_removed": [n for n in (EVENT, INSULIN, CARB) if n in p.kept.columns] if c.glucose_only else [],
         },
         "data_quality": {"glucose_data_completeness": end["g"], "insulin_data_completeness": end["i"], "carb_data_completeness": end["c"], "interpolated_records": end["made"]},

@@ -6,7 +6,7 @@ TS, EVENT, GLUCOSE, INSULIN, CARB, SEQUENCE = "ts", "event_type", "glucose", "in
 TS_TEXT = "ts_text"
 VALUES = (GLUCOSE, INSULIN, CARB)
 #: Columns that order rows of equal time.
-TIES = ("src_file", "src_pos")
+TIES = ("src_file", "src_block", "src_pos")
 
 #: Column names of the files read and written.
 FILE_COLUMNS = {

@@ -18,12 +18,12 @@ def named_for_files(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").alias(FILE_COLUMNS.get(c, "timestamp" if c == TS else c)) for c in df.columns))
 
 
-def write_csv(df: DataFrame, path: str, order: list[str] | None = None) -> None:
-    """df as one CSV file with a header, null as nothing, sorted if order is given. One task writes it: the single
-    file is what is asked for; write_csv_folder() has no such task."""
+def write_csv(df: DataFrame, path: str, order: list[str] | None = None, **options) -> None:
+    """df as one CSV file with a header, null as nothing, sorted if order is given; options as Spark's writer has. One task
+    writes it: the single file is what is asked for; write_csv_folder() has no such task."""
     work = f"{path}.{uuid.uuid4().hex}"
     rows = df.orderBy(*order) if order else df
-    rows.coalesce(1).write.option("header", True).option("timestampNTZFormat", _TIME).csv(work)
+    rows.coalesce(1).write.option("header", True).option("timestampNTZFormat", _TIME).options(**options).csv(work)
     move_single_part(df.sparkSession, work, path)
 
 

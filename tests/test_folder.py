@@ -6,17 +6,18 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from gapweave import catalog, cli, report
+from gapweave import catalog, catalog_io, cli, report
 from gapweave.config import Config
 from gapweave.plans import process
-from gapweave.sources import read_folder
+from gapweave.sources import files, read_folder
+from gapweave.sources.files import first_record
 from gapweave.streaming import sequence_sessions
 
 T, E, G, I, C = "Timestamp (YYYY-MM-DDThh:mm:ss)", "Event Type", "Glucose Value (mg/dL)", "Insulin Value (u)", "Carb Value (grams)"
 
 
 def rows_of(spark, folder, **more):
-    return [(r["ts_text"], r["event_type"], r["glucose"], r["insulin"], r["carb"]) for r in read_folder(spark, str(folder), **more).orderBy("ts", "src_file", "src_pos").collect()]
+    return [(r["ts_text"], r["event_type"], r["glucose"], r["insulin"], r["carb"]) for r in read_folder(spark, str(folder), **more).orderBy("ts", "src_file", "src_block", "src_pos").collect()]
 
 
 def test_reader(spark, tmp_path):
@@ -49,6 +50,54 @@ def test_reader_refuses(spark, tmp_path):
         read_folder(spark, str(tmp_path / "empty"))
 
 
+def test_headers_of_many_lines(spark, tmp_path):
+    row = "2019-10-28T00:00:01,x,EGV,5"
+    (tmp_path / "a.csv").write_text(f'{T},"a\nb ""c"",\r\nd",{E},{G}\n{row}\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_text(f'"{T}","{"long " * 9_000}\n",{E},{G}\n{row}\n', encoding="utf-8")
+    (tmp_path / "c.csv").write_bytes(f"{T},\r\n".encode() + b"\x80")
+    (tmp_path / "d.csv").write_bytes(b"\x80" + f"{T},{E}\n{row}\n".encode())
+    (tmp_path / "e.csv").write_text(f"{T},x,{E},{G}", encoding="utf-8")
+    assert first_record(spark, str(tmp_path / "a.csv"))[1] == 'a\nb "c",\r\nd'
+    assert first_record(spark, str(tmp_path / "b.csv"), chunk=7)[2:] == [E, G]
+    assert rows_of(spark, tmp_path) == [("2019-10-28T00:00:01", "EGV", "5", "", "")] * 2
+
+
+def test_large_files_are_split_unless_lines_break_in_quotes(spark, tmp_path):
+    lines = [f"2020-01-01 00:00:00.{n:06d},EGV,{n}" for n in range(3_000)]
+    (tmp_path / "a.csv").write_text("\n".join([f"{T},{E},{G}", *lines]))
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "b.csv").write_text("\n".join([f"{T},{E},{G}", *lines, '2020-01-02 00:00:00,"E\nGV",7']))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        rows = read_folder(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() > 4
+        order = [r["glucose"] for r in rows.orderBy("src_file", "src_block", "src_pos").collect()]
+        assert order == [str(n) for n in range(3_000)]
+        whole = read_folder(spark, str(tmp_path / "sub"))
+        assert whole.rdd.getNumPartitions() == 1 and whole.count() == 3_001 and whole.filter("event_type = 'E\nGV'").count() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", before[1])
+
+
+def test_unreadable_files_are_left_out_and_logged(spark, folder, caplog, monkeypatch):
+    (folder / "in" / "b.csv").write_text((folder / "in" / "a.csv").read_text())
+    real = files.first_record
+    monkeypatch.setattr(files, "first_record", lambda spark, path: (_ for _ in ()).throw(OSError("gone")) if path.endswith("b.csv") else real(spark, path))
+    with caplog.at_level("INFO"):
+        assert read_folder(spark, str(folder / "in")).count() == 8
+    assert "b.csv" in caplog.text and "1 left out" in caplog.text
+
+
+def test_progress_is_logged_and_nothing_stays_in_memory(spark, folder, caplog):
+    with caplog.at_level("INFO"):
+        process(spark, str(folder / "in"), str(folder / "out.csv"), Config(min_sequence_len=3))
+    assert all(f"step {n}" in caplog.text for n in range(1, 9)) and "out.csv" in caplog.text
+    assert spark._jsc.getPersistentRDDs().isEmpty()
+
+
 @pytest.fixture
 def folder(tmp_path):
     (tmp_path / "in").mkdir()
@@ -99,12 +148,15 @@ def test_stream_sessions(spark, sf_dir, tmp_path):
     assert sorted((r["user_id"], r["rows"]) for r in spark.table("sessions").collect()) == sorted(want)
 
 
-@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
+ALL, SQL = catalog.QUERIES | catalog_io.QUERIES, catalog.ORACLE_SQL | catalog_io.ORACLE_SQL
+
+
+@pytest.mark.parametrize("name", sorted(ALL))
 def test_catalogue_equals_sql(spark, sf_dir, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM '{sf_dir}/events.parquet'")
-    sql = con.sql(catalog.ORACLE_SQL[name])
-    got = catalog.QUERIES[name](spark, sf_dir)
+    sql = con.sql(SQL[name])
+    got = ALL[name](spark, sf_dir)
     names = sorted(got.columns)
     assert names == sorted(sql.columns)
     want = [dict(zip(sql.columns, r)) for r in sql.fetchall()]
@@ -114,4 +166,4 @@ def test_catalogue_equals_sql(spark, sf_dir, name):
 
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() == 1900
-    assert set(catalog.QUERIES) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+    assert set(ALL) <= set(__spark_entry__.queries()) and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())

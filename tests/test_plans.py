@@ -7,7 +7,7 @@ import pytest
 from gapweave import catalog
 from gapweave.operators import segment
 
-WINDOWED = ["sequence_ids", "post_calibration_purge", "resequence_after_purge", "gap_fill_full", "length_filter_window", "full_pipeline"]
+WINDOWED = ["sequence_ids", "post_calibration_purge", "resequence_after_purge", "gap_fill_full", "length_filter_window"]
 
 
 def plan(df):
@@ -21,13 +21,26 @@ def test_one_exchange_serves_all_windows(spark, sf_dir, name):
     assert len(re.findall(r"Sort \[user_id", text)) <= 2  # by time, and once more by sequence for the count
 
 
+@pytest.mark.parametrize("name", ["full_pipeline", "full_pipeline_unkeyed"])
+def test_the_fallback_is_a_subquery_on_the_same_exchange(spark, sf_dir, name):
+    jobs = lambda: set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    df = catalog.QUERIES[name](spark, sf_dir)
+    assert len(jobs() - before) <= 1  # the schema of the file, nothing else has run
+    df.collect()
+    text = plan(df)
+    final = text[: text.index("Initial Plan")] if "Initial Plan" in text else text
+    assert "Subquery" in text and "ReusedExchange" in final
+    if name == "full_pipeline":
+        assert len(re.findall(r"Exchange hashpartitioning\(user_id", text.split("== Initial Plan ==")[0])) <= 1
+
+
 @pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_and_few_columns(spark, sf_dir, name):
     text = plan(catalog.QUERIES[name](spark, sf_dir))
     assert not re.search(r"Python|Pandas|Arrow|CartesianProduct", text)
     assert "props" not in text
-    if name != "post_calibration_purge_join":
-        assert "NestedLoop" not in text
+    assert "NestedLoop" not in text
 
 
 def test_events_are_filtered_in_the_scan_stage(spark, sf_dir):

@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from gapweave.config import Config
 from gapweave.functions import configure, replace_first, seconds_between, strip, time_text, to_number, to_time
 from gapweave.operators import Series, balanced, drop_events, fill_gaps, ml_columns, of_length, purge_after_outages, replace_sentinels, segment
-from gapweave.operators.segment import purge_by_join
-from gapweave.plans import prepare
+from gapweave.operators.segment import outage_ends
+from gapweave.plans import prepare, stats
 
 DAY = datetime(2020, 1, 1)
-SCHEMA = "ts timestamp_ntz, event_type string, glucose string, insulin string, carb string, src_file string, src_pos long"
+SCHEMA = "ts timestamp_ntz, event_type string, glucose string, insulin string, carb string, src_file string, src_block long, src_pos long"
 ROWS = [
     ("00:00", "EGV", "100", ""), ("00:05", "EGV", "110", ""), ("00:15", "EGV", "130", ""), ("00:30", "EGV", "High", ""), ("00:35", "Calibration", "300", ""),
     ("00:44", "EGV", "Low", ""), ("00:44", "Insulin", "", "2.5"), ("00:54", "EGV", "90", ""), ("01:10", "EGV", "95", ""), ("01:15", "EGV", "96", ""),
@@ -32,7 +32,7 @@ def at(text):
 @pytest.fixture(scope="module")
 def golden(spark):
     configure(spark)
-    return spark.createDataFrame([(at(t), e, g, i, "", "f", n) for n, (t, e, g, i) in enumerate(ROWS)], SCHEMA)
+    return spark.createDataFrame([(at(t), e, g, i, "", "f", 0, n) for n, (t, e, g, i) in enumerate(ROWS)], SCHEMA)
 
 
 def shown(df):
@@ -52,17 +52,29 @@ def test_golden_rows(golden, span):
 
 
 def test_large_series_are_cut(golden):
-    assert balanced(golden, Series(), most=15) == Series() and balanced(golden, Series(), most=14).span == "day"
-    assert balanced(golden, Series(("event_type",)), most=13).span is None and balanced(golden, Series(("event_type",)), most=12).span == "day"
+    assert balanced(golden, Series(), most=15) == Series() and balanced(golden, Series(), most=14).span == "hour"
+    assert balanced(golden, Series(("event_type",)), most=13).span is None and balanced(golden, Series(("event_type",)), most=12).span == "hour"
+    assert balanced(golden, Series(), most=7).span == "minute" and balanced(golden, Series(), most=1).span == "second"
     assert balanced(golden, Series(span="hour"), most=1).span == "hour" and balanced(golden.limit(0), Series(), most=1).span is None
 
 
+def test_one_busy_day_and_a_hot_key_are_cut_by_size(spark, monkeypatch):
+    """Ten million rows of one day: by default they would be one window; and a key with most of the rows."""
+    configure(spark)
+    day = spark.range(10_000_000).selectExpr("timestamp_ntz'2020-01-01 00:00:00' + make_dt_interval(0, 0, 0, id * 0.00864) AS ts", "if(id % 10 = 0, id % 1000, -1) AS k", "id AS n")
+    assert balanced(day, Series((), ("n",))).span == "hour" and balanced(day, Series(("k",), ("n",))).span == "hour"
+    cut = prepare(day.selectExpr("ts", "'EGV' AS event_type", "1D AS glucose", "null AS insulin", "null AS carb", "k", "n"), CONFIG, Series(("k",), ("n",)))
+    assert cut.series.span == "hour"
+    text = cut.segmented._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(k" in text and "_span" in text and "SinglePartition" not in text
+
+
 def test_golden_rows_clean(golden):
     got = shown(prepare(golden, CONFIG.but(compat="clean")).kept)
     assert got == [(0, "00:00", "EGV", 100.0)] + [(s, t, e, None if g == "nan" else g) for s, t, e, g in WANT]
 
 
-def test_golden_statistics(golden):
+def test_golden_statistics(golden, monkeypatch):
     s = prepare(golden, CONFIG).statistics()
     assert s["replacement_analysis"] == {"high_replacements": 1, "low_replacements": 1, "total_replacements": 2, "glucose_field_converted_to_float": True}
     assert s["calibration_removal_analysis"] == {"calibration_events_removed": 1, "records_before_removal": 15, "records_after_removal": 14, "calibration_removal_enabled": True}
@@ -79,6 +91,8 @@ def test_golden_statistics(golden):
     assert (length["mean"], length["std"], length["25%"], length["50%"], length["75%"], length["max"], length["min"]) == (7, 4, 5, 7, 9, 11, 3)
     assert s["sequence_analysis"]["sequences_by_length"] == {3: 1, 11: 1}
     assert prepare(golden, CONFIG).statistics(each_sequence=False)["interpolation_analysis"] == fill
+    monkeypatch.setattr(stats, "MOST_SEQUENCES", 3)
+    assert prepare(golden, CONFIG).statistics()["gap_analysis"]["sequence_lengths"] == {}
     quality = s["data_quality"]
     assert [round(quality[k], 3) for k in ("glucose_data_completeness", "insulin_data_completeness", "carb_data_completeness")] == [92.857, 7.143, 0]
     assert quality["interpolated_records"] == 5
@@ -97,7 +111,9 @@ def test_clean_statistics_and_glucose_only(golden):
 def test_fallback_keeps_all_when_nothing_is_long(golden):
     plan = prepare(golden, CONFIG.but(min_sequence_len=1000))
     assert plan.kept.count() == plan.filled.count() == 16
-    assert plan.statistics()["filtering_analysis"]["removed_records"] == 0
+    assert plan.statistics()["filtering_analysis"] == {"original_sequences": 3, "filtered_sequences": 0, "removed_sequences": 3, "original_records": 16, "filtered_records": 0, "removed_records": 0}
+    for span in (None, "hour"):
+        assert prepare(golden, CONFIG.but(min_sequence_len=1000), Series(("event_type",), span=span)).kept.count() == prepare(golden, CONFIG, Series(("event_type",), span=span)).filled.count()
 
 
 def test_empty_table(golden):
@@ -140,6 +156,16 @@ def test_config_precedence_and_checks(tmp_path):
             Config(**bad)
 
 
+def purge_by_join(df, series, period_minutes, hours):
+    """The rows of purge_after_outages() by a range anti-join, quadratic in a series."""
+    ends = df.select(*(F.col(k).alias(f"_{k}") for k in series.keys), outage_ends(df, period_minutes).alias("_end")).filter("_end is not null")
+    reach = F.timestamp_add("MICROSECOND", F.lit(int(hours * 3_600_000_000)), F.col("_end")).cast("timestamp_ntz")
+    on = F.col("ts").between(F.col("_end"), reach)
+    for k in series.keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(ends, on, "left_anti")
+
+
 minutes = st.lists(st.tuples(st.integers(0, 2), st.integers(0, 900), st.booleans()), max_size=40)
 
 
