@@ -82,6 +82,19 @@ def test_large_files_are_split_unless_lines_break_in_quotes(spark, tmp_path):
         spark.conf.set("spark.sql.files.openCostInBytes", before[1])
 
 
+def test_a_cluster_needs_a_shared_folder():
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+            getConf = staticmethod(lambda: {})
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        files.scratch(Cluster, "x")
+
+
 def test_unreadable_files_are_left_out_and_logged(spark, folder, caplog, monkeypatch):
     (folder / "in" / "b.csv").write_text((folder / "in" / "a.csv").read_text())
     real = files.first_record
