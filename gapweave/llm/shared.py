@@ -2,24 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir. Only where it is unset and the master is local, as in tests, an own one: on a
-    cluster a folder of one machine would lose what other machines write."""
-    at = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        at = "file://" + tempfile.mkdtemp(prefix="gapweave-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
+from gapweave.sources.files import scratch
 
 
 #: Rows and bytes of the batches that go to Python, where the session has no values of its own: whole texts are wide rows.
@@ -43,7 +30,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read again: later plans start from files, so a lost executor costs
     no recomputation."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     _made.append(path)
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)

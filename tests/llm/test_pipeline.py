@@ -3,7 +3,6 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -80,16 +79,3 @@ def test_dropped_rows_by_either_join(spark):
     small, large = shared.without(docs, dropped), shared.without(docs, dropped, most=0)
     assert sorted(map(str, (r["doc_id"] for r in small.collect()))) == sorted(map(str, (r["doc_id"] for r in large.collect())))
     assert small.count() == docs.count() - 2 and small.columns == documents(spark).columns
-
-
-def test_a_cluster_needs_a_shared_folder(spark):
-    class Other:
-        class sparkContext:
-            master = "spark://host:7077"
-            getConf = staticmethod(lambda: {})
-
-        class conf:
-            get = staticmethod(lambda key, default=None: default)
-
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared.shared_dir(Other)
