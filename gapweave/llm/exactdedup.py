@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from gapweave.llm.filters import Bloom, build, size_for
 from gapweave.llm.kernels import U64, mix, trimmed
 from gapweave.llm.packets import grouped, pack, sizes, unpack
-from gapweave.llm.shared import materialise
+from gapweave.llm.shared import discard, materialise
 
 #: Rows of a memtable, and the most it may grow to for very large inputs; digests of a band.
 MEMTABLE_ROWS, MAX_MEMTABLE = 200_000, 2_000_000
@@ -379,8 +379,10 @@ def exact_duplicates(docs: DataFrame, digest_bytes: int = 32, memtable_rows: int
 
     single = rows.mapInArrow(alone, rows.schema).select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest", *carry)
     if not n_hits:
+        discard(level)
         return single
     checked = materialise(verify(docs, hits, index, n_copies, digest_bytes, salt_rows, carry), "digest-checked")
+    discard(level)
     odd = checked.filter("body is not null")
     if odd.isEmpty():
         return single.union(checked.select(*columns))

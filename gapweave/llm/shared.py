@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from gapweave.sources.files import scratch
 
-
 #: Rows and bytes of the batches that go to Python, where the session has no values of its own: whole texts are wide rows.
 BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
@@ -51,7 +50,8 @@ def discard(df: DataFrame) -> None:
 
 
 def made() -> int:
-    """How many tables there are; for discard_since()."""
+    """How many tables there are; for discard_since(). A table that a result reads must stay as long as the result is used: an
+    operator deletes only those that its result does not read."""
     return len(_made)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from gapweave.llm.components import components
 from gapweave.llm.kernels import U64, trimmed
-from gapweave.llm.shared import discard, join_counted, materialise
+from gapweave.llm.shared import discard_since, join_counted, made, materialise
 
 #: Generator polynomial of the (23, 12) Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
 GOLAY_POLYNOMIAL = 0b110001110101
@@ -193,7 +193,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, hot: int
     """
     marked = materialise(fingerprints(docs, shingle, seed, carry), "fingerprints")
     nodes = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
-    n_rows = marked.count()
+    n_rows, mark = marked.count(), made()
     nodes = materialise(nodes.repartition(max(1, n_rows // TASK_NODES), "fp"), "fingerprint-nodes")
     keys = nodes.select("fp").mapInArrow(trimmed(_keys), "key long, fp long")
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -207,7 +207,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, seed: int = 42, hot: int
     found = components(edges)
     named = nodes.join(found, nodes["fp"] == found["node"], "left").select("fp", "least", "rows", F.coalesce("component", "fp").alias("component"), F.col("node").isNotNull().alias("linked"))
     named = materialise(named, "fingerprint-components")
-    discard(met)
+    discard_since(docs.sparkSession, mark, named)
     alone = named.filter("not linked").select("fp", "component", F.col("least").alias("component_id"), "rows")
     linked = named.filter("linked")
     smallest = linked.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from gapweave.llm.shared import materialise
+from gapweave.llm.shared import discard, materialise
 
 #: (verdict, rule): host and its subdomains, from the slash on the start of the path.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -90,7 +90,8 @@ def templates(rows: DataFrame, depth: int = DEPTH) -> DataFrame:
     shapes = materialise(shapes.withColumn("template", F.lit("")), "url-shapes")
     deepest = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
     for i in range(min(deepest, depth + 1)):
-        shapes = materialise(_level(shapes, i), f"url-level-{i}")
+        above, shapes = shapes, materialise(_level(shapes, i), f"url-level-{i}")
+        discard(above)
     total = shapes.agg(F.sum("blocked"), F.sum("known")).first()
     base = float(((total[0] or 0) + 1) / ((total[1] or 0) + 2))
     hosts = shapes.groupBy("host").agg(((F.sum("blocked") + SMOOTH * base) / (F.sum("known") + SMOOTH)).alias("host_rate"))
