@@ -146,6 +146,11 @@ def test_command_line(spark, folder, capsys, monkeypatch):
     out = capsys.readouterr().out
     assert "8 records in 2 sequences" in out and "Quality" in out and (folder / "o.csv").exists()
     assert cli.main(["in", "-l", "3", "-o", "o.csv", "--no-stats"]) == 0
+    (folder / "in").rename(folder / "000-csv")
+    capsys.readouterr()
+    assert cli.main(["-l", "3", "--no-stats"]) == 0 and (folder / "glucose_ml_ready.csv").exists()
+    lines = capsys.readouterr().out.splitlines()
+    assert lines[:3] == ["8 records in 2 sequences", "written to glucose_ml_ready.csv", "0, 2020-01-01T00:05:00, EGV, 105.0, , "] and len(lines) == 10
     assert cli.main(["nowhere"]) == 1 and "nowhere" in capsys.readouterr().err
 
 
