@@ -187,17 +187,24 @@ class Text(HTMLParser):
 
 
 def brute_query(pages):
-    """The whole query by loops over rows and dictionaries."""
-    spoken = {9, 10, 32, *range(65, 91), *range(97, 123), *range(128, 256)}
+    """The whole query over pages by loops over rows and dictionaries."""
     rows = []
     for page_id, url, html in pages:
-        text = "".join(Text(html).out).encode()
+        host = url.split("://")[1].split("/")[0].lower()
+        rows.append((page_id, html.split('lang="')[1].split('"')[0].lower(), host, ".".join(host.split(".")[-2:]), host.split(".")[-1], "".join(Text(html).out)))
+    return brute_rows(rows)
+
+
+def brute_rows(given):
+    """(declared, host, language, posterior, fit, rejected) by id from rows (id, declared, host, domain, suffix, text)."""
+    spoken = {9, 10, 32, *range(65, 91), *range(97, 123), *range(128, 256)}
+    rows = []
+    for *names, text in given:
+        text = (text or "").encode()
         low = bytes(b + 32 if 65 <= b <= 90 else b for b in text)
         grams = [(int.from_bytes(low[i : i + 3], "big") * 0x9E3779B1 % (1 << 32)) >> 16 for i in range(len(low) - 2) if all(b in spoken for b in text[i : i + 3])]
-        host = url.split("://")[1].split("/")[0].lower()
-        declared = html.split('lang="')[1].split('"')[0].lower()
-        rows.append((page_id, declared, host, ".".join(host.split(".")[-2:]), host.split(".")[-1], grams, any(b in spoken - {9, 10, 32} for b in text)))
-    names = sorted({r[1] for r in rows})
+        rows.append((*names, grams, any(b in spoken - {9, 10, 32} for b in text)))
+    names = sorted({r[1] for r in rows if r[1]})
     tables = []
     for name in names:
         own = [r[5] for r in rows if r[1] == name]
@@ -216,20 +223,21 @@ def brute_query(pages):
     def sums(*at):
         out = defaultdict(lambda: [0.0] * len(names))
         for r, x in zip(rows, soft):
-            if r[5]:
-                key = tuple(r[i] for i in at)
+            key = tuple(r[i] for i in at)
+            if r[5] and None not in key[-1:]:
                 out[key] = [a + b for a, b in zip(out[key], x)]
         return out
 
-    declared, hosts, domains, suffixes = sums(1), sums(2, 3), sums(3), sums(4)
+    declared, domains, suffixes = sums(1), sums(3), sums(4)
+    hosts = sums(3, 2)
     out = {}
     for r, s in zip(rows, scores):
         logs = []
         for k in range(len(names)):
             log = 0.5 * s[k]
-            if (r[2], r[3]) in hosts:
-                own, above = hosts[r[2], r[3]], domains[r[3],]
-                up = (above[k] + 20 * share[k]) / (sum(above) + 20)
+            if (r[3], r[2]) in hosts:
+                own, above = hosts[r[3], r[2]], domains[r[3],]
+                up = (above[k] + 20 * share[k]) / (sum(above) + 20) if r[3] else share[k]
                 log += math.log((own[k] + 10 * up) / (sum(own) + 10))
             else:
                 log += math.log(share[k])

@@ -8,18 +8,18 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from gapweave.llm import langid, pii, shared
+from gapweave.llm import pii, shared
 from gapweave.llm.shared import table
 from tests.llm.cases import documents
+from tests.llm.test_langid import brute_rows
 from tests.llm.test_simhash import brute_components, brute_fingerprint
 from tests.llm.test_tokens import check_gapless
 
 
 def test_run_equals_brute_force(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    rows = langid.of_documents(docs)
-    rejected = {r["id"] for r in langid.identify(rows, langid.fit(rows, langid.sample(rows))).collect() if r["rejected"]}
-    texts = {r["doc_id"]: r["text"] for r in docs.collect() if r["doc_id"] not in rejected}
+    judged = brute_rows([(r["doc_id"], r["lang"], r["source"], None, None, r["text"]) for r in docs.collect()])
+    texts = {r["doc_id"]: r["text"] for r in docs.collect() if not judged[r["doc_id"]][5]}
     first = {}
     for i in sorted(texts):
         first.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", texts[i]), i)
