@@ -35,7 +35,7 @@ BAND_ROWS = 400_000
 #: Runs of one tier that are merged into one of the next.
 FAN = 8
 #: Rows of one group of copies that are verified together, and the most groups that are shared out.
-SALT_ROWS = 1_000
+SALT_ROWS = 250
 MOST_SALTED = 100_000
 #: Upper bound of the broadcast filter of hit digests, and of the filter of one run's piece.
 FILTER_BYTES = 8 << 20
@@ -268,7 +268,7 @@ def verify(docs: DataFrame, hits: DataFrame, index: Bloom, n_rows: int, size: in
 
     hits: digest, keep_id, group_size of digests that several rows have, n_rows rows in all."""
     most = max(salt_rows, n_rows // MOST_SALTED)
-    large = {bytes(r["digest"]): (-(-r["group_size"] // most), r["keep_id"]) for r in hits.filter(F.col("group_size") > most).toLocalIterator()}
+    large = {bytes(r["digest"]): (-(-r["group_size"] // most), r["keep_id"]) for r in hits.filter(F.col("group_size") > most).collect()}
     shipped = docs.sparkSession.sparkContext.broadcast((index, large))
     fields = docs.select(*carry).schema
     rest = [f.name for f in fields]
