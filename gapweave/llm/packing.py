@@ -280,7 +280,7 @@ def pack(cut: DataFrame, width: int = WIDTH, rank_rows: int = RANK_ROWS, max_buc
     may swap places between runs. An empty table gives an empty table.
     """
     counts = np.zeros(width + 1, np.int64)
-    for row in cut.groupBy("length").count().toLocalIterator():  # at most `width` rows
+    for row in cut.groupBy("length").count().collect():  # at most `width` rows
         counts[row["length"]] = row["count"]
     runs = places(best_two_fit(counts, width))
     buckets = F.get(F.lit(np.clip(-(-counts // rank_rows), 1, max_buckets).tolist()), F.col("length").cast("int"))

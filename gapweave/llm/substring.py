@@ -344,9 +344,9 @@ def slices(docs: DataFrame, found: DataFrame, n_found: int, tasks: int, filter_b
     """Segments with the words at their first place, joined by one space: (doc_id, row, kind 3, at, n, words)."""
     sources = found.groupBy("from_id", "from_row").agg(F.count("*").alias("leaning"))
     most = max(salt_rows, n_found // MOST_SALTED)
-    copies = {(r["from_id"], r["from_row"]): -(-r["leaning"] // most) for r in sources.filter(F.col("leaning") > most).toLocalIterator()}
-    keys = sources.select(F.xxhash64("from_id", "from_row"))
-    texts = _send(docs, build(keys, sources.count(), filter_bytes), copies)
+    copies = {(r["from_id"], r["from_row"]): -(-r["leaning"] // most) for r in sources.filter(F.col("leaning") > most).collect()}
+    keys = found.select(F.xxhash64("from_id", "from_row"))
+    texts = _send(docs, build(keys, n_found, filter_bytes), copies)
     salt = F.lit(0)
     if copies:
         hot = docs.sparkSession.createDataFrame([(*k, n) for k, n in copies.items()], "from_id long, from_row long, salts int")
@@ -485,28 +485,28 @@ def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     known = docs.filter("doc_id is not null")
     row, twins = F.lit(0).cast("long"), None
-    if not known.groupBy("doc_id").count().filter("count > 1").isEmpty():
+    size, n_rows, n_ids = known.agg(F.coalesce(F.sum(F.octet_length("text")).cast("long"), F.lit(0)), F.count("*"), F.count_distinct("doc_id")).first()
+    if n_ids < n_rows:
         row = F.conv(F.substring(F.sha2(F.coalesce("text", F.lit("")), 256), 1, 15), 16, 10).cast("long")
         twins = known.select("doc_id", row.alias("row")).groupBy("doc_id", "row").count().filter("count > 1")
         twins = materialise(twins, "repeated-rows")
     docs = docs.select("doc_id", row.alias("row"), F.xxhash64("doc_id", row).alias("key"), "text")
     known = docs.filter("doc_id is not null and text is not null")
-    words = (known.agg(F.sum(F.octet_length("text")).cast("long")).first()[0] or 0) // 6 + 1
-    block = max(1, window // 2)
+    words, block = size // 6 + 1, max(1, window // 2)
     shipped = docs.sparkSession.sparkContext.broadcast(index(known, block, words // block + 1, filter_bytes, band_rows, batch))
     bands, batch = sizes(words, 3 * band_rows, batch, MAX_BATCH)
     found = materialise(segments(candidates(known, window, block, bands, shipped, batch), window, bands), "repeated-segments")
 
     pairs = found.filter("from_id is not null")
-    n_pairs = pairs.count()
+    n_pairs, n_found = found.agg(F.count("from_id"), F.count("*")).first()
     none = F.lit(None).cast("binary").alias("words")
     marks = found.filter("from_id is null").select("doc_id", "row", F.lit(2).alias("kind"), "at", "n", none)
     held = found.select("doc_id", "row")
     if twins is not None:
         marks = marks.union(twins.select("doc_id", "row", F.lit(1), F.lit(0).cast("long"), "count", none))
         held = held.union(twins.select("doc_id", "row"))
-    held = held.distinct()
-    touched = build(held.select(F.xxhash64("doc_id", "row")), held.count(), filter_bytes)
+        n_found += twins.count()
+    touched = build(held.select(F.xxhash64("doc_id", "row")), n_found, filter_bytes)
     texts = _send(docs, touched).drop("salt")
     compared = marks
     if n_pairs:
@@ -515,8 +515,8 @@ def kept_words(docs: DataFrame, window: int = WINDOW, filter_bytes: int = FILTER
     odd = done.select(F.explode("odd").alias("hash"))
     if not odd.isEmpty():
         more = materialise(_by_words(known, odd, window, filter_bytes), "passages-by-words")
-        again = held.union(more.select("doc_id", "row")).distinct()
-        touched = build(again.select(F.xxhash64("doc_id", "row")), again.count(), filter_bytes)
+        again = held.union(more.select("doc_id", "row"))
+        touched = build(again.select(F.xxhash64("doc_id", "row")), n_found + more.count(), filter_bytes)
         done = materialise(removed(_send(docs, touched).drop("salt"), compared.union(more), window, bands), "passages")
     discard(found)
 
