@@ -193,7 +193,7 @@ def command_line_option_before_file(spark, sf_dir):
 
 @query(
     _FOLDER_CHAIN
-    + f""", n AS (SELECT (SELECT count(*) FROM kept) AS records, (SELECT count(DISTINCT sequence_id) FROM kept) AS sequences, (SELECT count(*) FROM src WHERE glucose IN (401, 39)) AS replaced,
+    + f""", n AS (SELECT (SELECT count(*) FROM kept) AS records, (SELECT count(DISTINCT sequence_id) FROM kept) AS sequences, (SELECT count(*) FROM events WHERE NOT ({_UNREAD}) AND event_type NOT IN ('purchase', 'signup') AND (value >= 200 OR value < 5)) AS replaced,
     (SELECT sum(points) FROM census) AS points, (SELECT count(*) FROM census WHERE small_gap) AS gaps, (SELECT count(*) FROM src WHERE event_type = 'Calibration') AS gone,
     (SELECT count(DISTINCT sequence_id) FROM filled) - (SELECT count(DISTINCT sequence_id) FROM long) AS short, (SELECT count(*) FROM marked WHERE is_gap AND diff_s >= 1800) AS outages, (SELECT count(*) FROM marked WHERE purged) AS purged,
     (SELECT min({_TEXT}) FROM kept) AS first, (SELECT max({_TEXT}) FROM kept) AS last, (SELECT max(c) FROM (SELECT count(*) AS c FROM kept GROUP BY sequence_id)) AS longest, (SELECT avg(c) FROM (SELECT count(*) AS c FROM kept GROUP BY sequence_id)) AS mean)
