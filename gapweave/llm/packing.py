@@ -130,7 +130,7 @@ class WordIds:
         if any(s in raw for s in self.special):
             for i, (a, b) in enumerate(zip(offsets.tolist(), offsets[1:].tolist())):
                 if any(s in raw[a:b] for s in self.special):
-                    out[i] = np.array(self.whole.encode(raw[a:b].decode(), add_special_tokens=False).ids, np.uint32)
+                    out[i] = np.array(self.whole.encode(raw[a:b].decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32)
         return out
 
     def _encode_words(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
