@@ -41,7 +41,7 @@ FILTER_BYTES = 32 << 20
 #: Rows that one band's task holds at a time, and rows that a task gathers before it packs them. For very large
 #: inputs both grow, the second to MAX_BATCH, see sizes().
 BAND_ROWS = 400_000
-BATCH = 400_000
+BATCH = 150_000
 MAX_BATCH = 8_000_000
 #: Documents that lean on one source and are compared with one copy of it, and the most sources that have several copies.
 SALT_ROWS = 1_000
