@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from gapweave.llm.kernels import trimmed
 
 SLICE = 4096
+#: Tasks that add up the slices of all others: what each reads grows with the number of those.
+TASKS = 32
 
 
 def summed(df: DataFrame, width: int, add: Callable[[pa.RecordBatch, np.ndarray], None]) -> np.ndarray:
@@ -37,7 +39,7 @@ def summed(df: DataFrame, width: int, add: Callable[[pa.RecordBatch, np.ndarray]
         if sums:
             yield pa.record_batch([pa.array(list(sums), pa.int32()), pa.array([v.tobytes() for v in sums.values()], pa.binary())], ["slice", "counts"])
 
-    parts = df.mapInArrow(trimmed(count), "slice int, counts binary").repartition(max(1, width // SLICE // 256), F.col("slice"))
+    parts = df.mapInArrow(trimmed(count), "slice int, counts binary").repartition(max(1, min(TASKS, width // SLICE)), F.col("slice"))
     out = np.zeros(width, np.int64)
     for row in parts.mapInArrow(total, "slice int, counts binary").collect():
         part = np.frombuffer(bytes(row["counts"]), np.int64)
@@ -79,6 +81,6 @@ def summed_slices(df: DataFrame, width: int, keys: Callable[[pa.RecordBatch], It
             yield rows(sums)
 
     slices = -(-width // SLICE)
-    parts = df.mapInArrow(trimmed(count), "slice int, counts binary").repartition(max(1, slices // 256), F.col("slice"))
+    parts = df.mapInArrow(trimmed(count), "slice int, counts binary").repartition(max(1, min(TASKS, slices), slices // 256), F.col("slice"))
     for row in parts.mapInArrow(trimmed(total), "slice int, counts binary").toLocalIterator():
         yield row["slice"], np.frombuffer(bytes(row["counts"]), np.int64)

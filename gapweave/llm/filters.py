@@ -87,7 +87,7 @@ def joined(parts: DataFrame, sizes: list[int]) -> list[Bloom]:
 
     whole = np.zeros((sum(n_pages), PAGE), np.uint8)
     tasks = max(1, sum(n_pages) // 512)
-    for row in parts.repartition(tasks, "page").sortWithinPartitions("page").mapInArrow(trimmed(either), PAGE_SCHEMA).collect():  # of the filters' size
+    for row in parts.repartition(tasks, "page").sortWithinPartitions("page").mapInArrow(trimmed(either), PAGE_SCHEMA).toLocalIterator():  # 2 MB at a time
         whole[row["page"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
     out, at = [], 0
     for size, n in zip(sizes, n_pages):
