@@ -166,6 +166,40 @@ def test_stream_sessions(spark, sf_dir, tmp_path):
     assert sorted((r["user_id"], r["rows"]) for r in spark.table("sessions").collect()) == sorted(want)
 
 
+def stream_sessions_and_sql(spark, folder, events, sql_events=None):
+    """What the query gives over a table of events, and what its SQL gives over it, or over another."""
+    (folder / "t").mkdir()
+    duckdb.sql(f"COPY ({events}) TO '{folder}/t/events.parquet'")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS {sql_events or events}")
+    got = catalog_io.QUERIES["stream_sessions"](spark, str(folder / "t")).select("user_id", "start", "end", "rows").collect()
+    want = con.sql(f'SELECT user_id, start, "end", rows FROM ({catalog_io.ORACLE_SQL["stream_sessions"]})').fetchall()
+    return sorted(map(tuple, got), key=repr), sorted(want, key=repr)
+
+
+@pytest.mark.parametrize(
+    "change",
+    [
+        "ts - INTERVAL 100 YEAR AS ts",
+        "ts - to_days((event_id % 2 * 40000)::INTEGER) AS ts",
+        "CASE WHEN event_id % 7 > 0 THEN ts END AS ts",
+        "CASE WHEN user_id <> 3 THEN ts END AS ts",
+        "CASE WHEN user_id <> 3 THEN user_id END AS user_id",
+        "user_id - 3 AS user_id",
+    ],
+)
+def test_stream_sessions_of_odd_rows_equal_sql(spark, sf_dir, tmp_path, change):
+    got, want = stream_sessions_and_sql(spark, tmp_path, f"SELECT * REPLACE ({change}) FROM '{sf_dir}/events.parquet'")
+    assert got == want and len(got) > 200
+
+
+def test_stream_sessions_of_copies(spark, sf_dir, tmp_path):
+    """Rows of one user and second stay in one sequence. The SQL leaves their order open, so it gets each row once."""
+    once = f"SELECT * FROM '{sf_dir}/events.parquet'"
+    got, want = stream_sessions_and_sql(spark, tmp_path, f"{once} UNION ALL {once} UNION ALL {once}", once)
+    assert got == [(*key, 3 * rows) for *key, rows in want]
+
+
 ALL, SQL = catalog.QUERIES | catalog_io.QUERIES, catalog.ORACLE_SQL | catalog_io.ORACLE_SQL
 
 
